@@ -42,6 +42,15 @@ def nz(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and use it many times in ``body``.
+
+    A column expression is a tree: using a long one in several places repeats it,
+    and nested uses multiply.  Binding it to a lambda variable keeps the plan small.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def blank_to_null(value: Column) -> Column:
     return F.when(value != "", value)
 

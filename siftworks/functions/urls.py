@@ -34,9 +34,13 @@ def query(url: Column) -> Column:
     return _part(url, 4)
 
 
+def host_of(authority_text: Column) -> Column:
+    return F.lower(F.regexp_extract(authority_text, r"^(?:.*@)?(\[[^\]]*\]|[^:]*)", 1))
+
+
 def hostname(url: Column) -> Column:
     """Lower-case host without user info and port."""
-    return F.lower(F.regexp_extract(authority(url), r"^(?:.*@)?(\[[^\]]*\]|[^:]*)", 1))
+    return host_of(authority(url))
 
 
 def bare_host(url: Column) -> Column:
@@ -44,18 +48,17 @@ def bare_host(url: Column) -> Column:
 
 
 def root_url(url: Column) -> Column:
-    whole = tx.nz(url)
-    has_both = (_part(whole, 1) != "") & (authority(whole) != "")
-    return F.when(has_both, F.concat(_part(whole, 1), F.lit("://"), authority(whole), F.lit("/"))).otherwise(
-        F.concat(F.rtrim(whole, F.lit("/")), F.lit("/"))
-    )
+    def body(u: Column) -> Column:
+        parts = F.concat(_part(u, 1), F.lit("://"), authority(u), F.lit("/"))
+        bare = F.concat(F.rtrim(u, F.lit("/")), F.lit("/"))
+        return F.when((_part(u, 1) != "") & (authority(u) != ""), parts).otherwise(bare)
+    return tx.let(tx.nz(url), body)
 
 
 def target(url: Column) -> Column:
     """Lower-case path?query, with '/' for an empty path."""
-    p, q = path(url), query(url)
-    p = F.when(p == "", "/").otherwise(p)
-    return F.lower(F.when(q != "", F.concat(p, F.lit("?"), q)).otherwise(p))
+    p = F.regexp_replace(path(url), "^$", "/")
+    return tx.let(query(url), lambda q: F.lower(F.when(q != "", F.concat(p, F.lit("?"), q)).otherwise(p)))
 
 
 def decode(value: Column) -> Column:
@@ -85,39 +88,43 @@ def query_keys(url: Column) -> Column:
     return F.array_distinct(F.transform(_pairs(query(url)), lambda pair: F.lower(_name(pair))))
 
 
+def _parameter(pairs: Column, name: str) -> Column:
+    hits = F.filter(pairs, lambda pair: _name(pair) == name)
+    return tx.let(F.try_element_at(hits, F.lit(-1)), lambda pair: F.coalesce(_value(pair), F.lit("")))
+
+
 def parameter(url: Column, name: str) -> Column:
     """Decoded value of a parameter, the last one when repeated, else ''."""
-    hits = F.filter(_pairs(query(url)), lambda pair: _name(pair) == name)
-    return F.coalesce(_value(F.try_element_at(hits, F.lit(-1))), F.lit(""))
+    return _parameter(_pairs(query(url)), name)
 
 
 def unwrap_redirect(url: Column) -> Column:
     """Target of a search-engine redirect link, else the URL itself."""
-    inner = tx.first_filled(*[parameter(url, name) for name in fv.REDIRECT_PARAMETERS])
-    # One more decoding without '+' handling, as for a path.
-    plain = decode(F.replace(inner, F.lit("+"), F.lit("%2B")))
-    may_redirect = F.contains(url, F.lit("uddg")) | F.contains(url, F.lit("url"))
-    return F.when(may_redirect & (inner != ""), plain).otherwise(url)
+    def inner(u: Column) -> Column:
+        options = tx.let(_pairs(query(u)), lambda pairs: tx.first_filled(*[_parameter(pairs, n) for n in fv.REDIRECT_PARAMETERS]))
+        # One more decoding without '+' handling, as for a path.
+        decoded = tx.let(options, lambda value: F.when(
+            value == "", u).otherwise(decode(F.replace(value, F.lit("+"), F.lit("%2B")))))
+        # Most URLs have no such parameter: a byte search decides that cheaply.
+        return F.when(tx.has_any(u, fv.REDIRECT_PARAMETERS), decoded).otherwise(u)
+    return tx.let(url, inner)
 
 
 def _clean_query(q: Column) -> Column:
     kept = F.filter(_pairs(q), lambda pair: ~F.lower(_name(pair)).isin(*fv.TRACKING_PARAMETERS))
-    encoded = F.transform(kept, lambda pair: F.concat(encode(_name(pair)), F.lit("="), encode(_value(pair))))
-    return F.when(q == "", "").otherwise(F.array_join(encoded, "&"))
+    return F.array_join(F.transform(kept, lambda pair: F.concat(encode(_name(pair)), F.lit("="), encode(_value(pair)))), "&")
+
+
+def _prefix_if(value: Column, before: str, after: str = "") -> Column:
+    return tx.let(value, lambda v: F.when(v != "", F.concat(F.lit(before), v, F.lit(after))).otherwise(""))
 
 
 def _assemble(url: Column) -> Column:
-    head, host, p = scheme(url), F.lower(authority(url)), path(url)
-    trimmed = F.rtrim(p, F.lit("/"))
-    p = F.when(trimmed == "", p).otherwise(trimmed)
-    p = F.when((host != "") & (p != "") & ~F.startswith(p, F.lit("/")), F.concat(F.lit("/"), p)).otherwise(p)
-    q = _clean_query(query(url))
-    return F.concat(
-        F.when(head != "", F.concat(head, F.lit(":"))).otherwise(""),
-        F.when(host != "", F.concat(F.lit("//"), host)).otherwise(""),
-        p,
-        F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""),
-    )
+    # "/a/b//" loses its trailing slashes, "/" stays, "a" below an authority gets one.
+    p = F.regexp_replace(path(url), r"(?s)(?<=[^/])/+$", "")
+    rooted = F.when((authority(url) != "") & p.rlike("^[^/]"), F.concat(F.lit("/"), p)).otherwise(p)
+    q = F.when(F.contains(url, F.lit("?")), _prefix_if(_clean_query(query(url)), "?")).otherwise("")
+    return F.concat(_prefix_if(scheme(url), "", ":"), _prefix_if(F.lower(authority(url)), "//"), rooted, q)
 
 
 def canonical_url(url: Column, unwrap: bool = True, nan_is_blank: bool = False) -> Column:
@@ -127,12 +134,10 @@ def canonical_url(url: Column, unwrap: bool = True, nan_is_blank: bool = False)
     no fragment, re-encoded query in its original order.  ``unwrap=False`` keeps
     redirect links; ``nan_is_blank`` also treats the text 'nan' as missing.
     """
-    whole = tx.strip_space(url)
-    result = _assemble(unwrap_redirect(whole) if unwrap else whole)
-    blank = whole == ""
-    if nan_is_blank:
-        blank = blank | (F.lower(whole) == "nan")
-    return F.when(blank, "").otherwise(result)
+    def body(whole: Column) -> Column:
+        blank = (whole == "") | (F.lower(whole) == "nan") if nan_is_blank else whole == ""
+        return F.when(blank, "").otherwise(tx.let(unwrap_redirect(whole), _assemble) if unwrap else _assemble(whole))
+    return tx.let(tx.strip_space(url), body)
 
 
 def redirect_target(url: Column) -> Column:
@@ -142,20 +147,21 @@ def redirect_target(url: Column) -> Column:
 
 def resolve(base: Column, link: Column) -> Column:
     """Absolute URL of a link found on a page."""
-    link = tx.nz(link)
-    origin = F.concat(scheme(base), F.lit("://"), authority(base))
-    folder = F.regexp_extract(path(base), r"(?s)^(.*/)?[^/]*$", 1)
-    folder = F.when(folder == "", "/").otherwise(folder)
-    joined = (
-        F.when(link == "", base)
-        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
-        .when(F.startswith(link, F.lit("//")), F.concat(scheme(base), F.lit(":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
-        .when(F.startswith(link, F.lit("?")), F.concat(origin, path(base), link))
-        .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_replace(base, "(?s)#.*$", ""), link))
-        .otherwise(F.concat(origin, folder, link))
-    )
-    # Remove "./" and "name/../" steps until none is left (a link has few).
+    def body(u: Column) -> Column:
+        origin = F.concat(scheme(base), F.lit("://"), authority(base))
+        folder = F.regexp_replace(F.regexp_extract(path(base), r"(?s)^(.*/)?[^/]*$", 1), "^$", "/")
+        return (
+            F.when(u == "", base)
+            .when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), u)
+            .when(F.startswith(u, F.lit("//")), F.concat(scheme(base), F.lit(":"), u))
+            .when(F.startswith(u, F.lit("/")), F.concat(origin, u))
+            .when(F.startswith(u, F.lit("?")), F.concat(origin, path(base), u))
+            .when(F.startswith(u, F.lit("#")), F.concat(F.regexp_replace(base, "(?s)#.*$", ""), u))
+            .otherwise(F.concat(origin, folder, u))
+        )
+
+    joined = tx.let(tx.nz(link), body)
+    # Remove "./" and "name/../" steps (a link has few of them).
     for _ in range(4):
         joined = F.regexp_replace(joined, r"/\./", "/")
         joined = F.regexp_replace(joined, r"(?<![:/])/(?!\.\./)[^/?#]+/\.\./", "/")
@@ -270,20 +276,20 @@ def path_prefixes(url: Column) -> Column:
     A path of at most three segments appears twice, once in full and once as
     its own prefix; the counts rely on that.
     """
-    p = path(url)
-    p = F.when(p == "", "/").otherwise(p)
-    parts = segments(p)
-    full = F.when(p == "/", F.array().cast("array<string>")).otherwise(
-        F.array(F.when(F.endswith(p, F.lit("/")), p).otherwise(F.concat(p, F.lit("/"))))
-    )
-    steps = F.least(F.size(parts), F.lit(3))
-    prefixes = F.when(steps < 1, F.array().cast("array<string>")).otherwise(
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
-            lambda n: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")),
-        )
-    )
-    return F.concat(full, prefixes)
+    none = F.array().cast("array<string>")
+
+    def body(p: Column) -> Column:
+        full = F.when(p == "/", none).otherwise(F.array(F.regexp_replace(p, "(?s)([^/])$", "$1/")))
+
+        def prefixes(parts: Column) -> Column:
+            steps = F.least(F.size(parts), F.lit(3))
+            return F.when(steps < 1, none).otherwise(F.transform(
+                F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
+                lambda n: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/"))))
+
+        return F.concat(full, tx.let(segments(p), prefixes))
+
+    return tx.let(F.regexp_replace(path(url), "^$", "/"), body)
 
 
 def page_extent(html: Column, limit: int = 20) -> Column:

@@ -120,7 +120,9 @@ def add_location_fit(df: DataFrame, book: RuleBook) -> DataFrame:
 
 def add_profile_scores(df: DataFrame, book: RuleBook, profile: str = LOCAL) -> DataFrame:
     """Student, candidate, remote and match score; an unwanted title zeroes all."""
-    student = df.withColumns(sc.student_score(df, book.student))
+    texts = df.withColumn("_ptext", tx.join_fields(df, sc.PROFILE_FIELDS))
+    texts = texts.withColumn("_ntext", tx.profile_text(F.col("_ptext"))).withColumn("_rtext", tx.join_fields(df, sc.REMOTE_FIELDS))
+    student = texts.withColumns(sc.student_score(texts, book.student))
     unwanted = F.col("profile_reason") == "unwanted_title"
     candidate = F.when(unwanted, 0).otherwise(sc.candidate_score(student, book.candidate))
     out = student.withColumn("candidate_score", candidate)
@@ -135,7 +137,7 @@ def add_profile_scores(df: DataFrame, book: RuleBook, profile: str = LOCAL) -> D
         "match_score": F.when(unwanted, 0).otherwise(match),
         "negative_reason": F.when(unwanted, "excluded title unwanted_title").otherwise(tx.field(df, "negative_reason")),
         "selection_rejection_reason": F.when(unwanted, "unwanted_title").otherwise(tx.field(df, "selection_rejection_reason")),
-    })
+    }).drop("_ptext", "_ntext", "_rtext")
 
 
 def normalize_posting(df: DataFrame, book: RuleBook, profile: str = LOCAL, with_scores: bool = True,
@@ -332,10 +334,11 @@ def mail_columns(df: DataFrame, rules: MailRules) -> DataFrame:
 
 def report_columns(df: DataFrame, rules: ReportRules) -> DataFrame:
     """Recommendation, reasons and document hints; values already on the row win."""
+    df = cl.with_report_text(df)
     level = tx.first_filled(tx.field(df, "recommendation_level"), rs.recommendation_level(df, rules))
     cv = tx.first_filled(tx.field(df, "recommended_cv"), rs.recommended_cv(df, rules))
     out = df.withColumns({
         "recommendation_level": level, "fit_reasons": rs.fit_reasons(df, rules),
         "risk_reasons": rs.risk_reasons(df, rules), "recommended_cv": cv})
     letter = tx.first_filled(tx.field(df, "recommended_cover_letter"), rs.recommended_letter(rs.recommended_cv(df, rules)))
-    return out.withColumn("recommended_cover_letter", letter)
+    return out.withColumn("recommended_cover_letter", letter).drop("_rtext")
