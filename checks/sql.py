@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checks.views import HISTORY_SQL, postings_sql, threads_sql
+from checks.views import postings_sql, threads_sql
 from siftworks.functions.text import profile_term
 from siftworks.rules import fixed_values as fv
 
@@ -173,10 +173,6 @@ def canon_ctes(source: str = "postings", name: str = "canon", url: str = "url")
     )
 
 
-def history_cte() -> str:
-    return f"history AS MATERIALIZED ({HISTORY_SQL})"
-
-
 def url_type_ctes(patterns, source: str, name: str = "typed", url: str = "url") -> str:
     """CTE that adds utype and upattern, the URL type and matched pattern label."""
     whens_type, whens_label = [], []

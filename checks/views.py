@@ -43,9 +43,8 @@ SELECT doc_id AS seq,
  trim(regexp_extract(text, {{sentence}}, 1)) AS title,
  CASE lang WHEN 'en' THEN 'Napoli' WHEN 'fr' THEN 'Milano' WHEN 'de' THEN 'Remote' ELSE '' END AS location,
  CASE doc_id % 3 WHEN 0 THEN 'data entry Napoli' WHEN 1 THEN 'free work' ELSE '' END AS query,
- text AS description,
+ concat(text, CASE WHEN doc_id % 5 = 0 THEN ' salary $30000 - $50,000' WHEN doc_id % 5 = 1 THEN ' from 1200 eur' ELSE '' END) AS description,
  {URL_SQL} AS url,
- CASE WHEN doc_id % 5 = 0 THEN 'salary $30000 - $50,000' WHEN doc_id % 5 = 1 THEN 'from 1200 eur' ELSE '' END AS salary_note,
  '2026-06-21T00:00:00+00:00' AS found_at,
  n_chars
 FROM documents"""
@@ -63,13 +62,6 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(body.replace("FROM documents", "FROM {documents}"), documents=table(spark, folder, "documents"))
 
 
-# History of an earlier run: the labelled documents were sent then.  Those with
-# toxic = 1 have changed since.
-HISTORY_SQL = """
-SELECT p.*, l.quality, l.toxic, n_chars % 20 AS age, n_chars % 3 AS sent_count
-FROM postings p JOIN labels l ON p.seq = l.doc_id"""
-
-
 def threads(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as community posts: every turn is a post."""
     return spark.sql(THREADS_SQL.format(sentence=r"'^([^.!?\\n]*)'").replace("FROM conversations", "FROM {conversations}").replace(
@@ -92,3 +84,40 @@ FROM conversations"""
 
 def threads_sql() -> str:
     return THREADS_SQL.format(sentence=r"'^([^.!?\n]*)'")
+
+
+def normalized(spark: SparkSession, folder: str, profile: str = "local_student") -> DataFrame:
+    """Postings with all labels and scores."""
+    from checks.corpus import BOOK
+    from siftworks.operators.projections import normalize_posting
+    return normalize_posting(postings(spark, folder), BOOK, profile, now=now())
+
+
+def history(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    """History of an earlier run: the labelled documents were sent then.
+
+    Documents with toxic = 1 have changed since, those with quality = 0 were
+    recorded but never sent.
+    """
+    from siftworks.functions import identity as ident
+    from siftworks.operators.dedup import keep_first
+    rows = normalized(spark, folder) if rows is None else rows
+    labels = table(spark, folder, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    sent = rows.withColumn("job_id", ident.job_id(rows)).withColumn("content_hash", ident.content_hash(rows)).join(
+        labels, F.col("seq") == F.col("doc_id"))
+    first = keep_first(sent, ["job_id"], ["seq"])
+    day = F.date_format(F.date_sub(F.to_date(now()), (F.col("n_chars") % 20).cast("int")), "yyyy-MM-dd'T'06:00:00'Z'")
+    return first.select(
+        "job_id", "url", "title", "source", F.lit("2026-05-01T00:00:00Z").alias("first_seen"), day.alias("last_seen"),
+        F.when(F.col("quality") == 0, "").otherwise(day).alias("last_sent"),
+        F.when(F.col("quality") == 0, 0).otherwise(1 + F.col("n_chars") % 3).cast("int").alias("sent_count"),
+        F.when(F.col("toxic") == 1, "changed").otherwise(F.col("content_hash")).alias("content_hash"),
+        F.col("match_score"))
+
+
+def annotated(spark: SparkSession, folder: str) -> DataFrame:
+    """Deduplicated, classified and history-annotated postings (the selection input)."""
+    from checks.corpus import BOOK
+    from siftworks.operators import dedup, history as hs, joins as jn
+    rows = jn.classify_results(normalized(spark, folder), BOOK.patterns, BOOK.clean)
+    return hs.annotate_history(dedup.dedup_postings(rows), history(spark, folder, rows), now())
