@@ -51,6 +51,18 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add (or replace) columns so that they are computed exactly once.
+
+    Columns of a plain projection are copied into every later filter and
+    projection that uses them.  A generator that yields one row keeps long
+    expressions in one place, for the optimizer and at run time.
+    """
+    kept = [F.col(f"`{name}`") for name in df.columns if name not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def blank_to_null(value: Column) -> Column:
     return F.when(value != "", value)
 

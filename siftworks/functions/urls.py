@@ -180,7 +180,7 @@ def join_patterns(df: DataFrame, patterns: UrlPatterns, url: str = "url") -> Dat
     Patterns are rule input with one row per host, so this is a broadcast hash
     join; the pattern test itself runs inside the row (:func:`url_type`).
     """
-    left = df.withColumn("p_key", bare_host(F.col(url))).withColumn("p_target", target(F.col(url)))
+    left = tx.settle(df, {"p_key": bare_host(F.col(url)), "p_target": target(F.col(url))})
     rows = patterns.frame(df.sparkSession)
     return left.join(rows, left["p_key"] == rows["p_host"], "left").drop("p_host")
 
@@ -265,7 +265,7 @@ def classify_urls(df: DataFrame, patterns: UrlPatterns, url: str = "url",
     """Add URL type and matched pattern."""
     kind, label = url_type(patterns)
     joined = join_patterns(df, patterns, url)
-    return drop_pattern_columns(joined.withColumn(type_name, kind).withColumn(label_name, label))
+    return drop_pattern_columns(tx.settle(joined, {type_name: kind, label_name: label}))
 
 
 # --- path statistics -----------------------------------------------------------

@@ -26,7 +26,7 @@ def annotate_history(df: DataFrame, history: DataFrame, now: Column, skip_days:
     After dedup the key is (nearly) unique and a plain join is right; pass
     ``spread=True`` for tables that may hold many rows of one key.
     """
-    left = df.withColumn("job_id", ident.job_id(df)).withColumn("content_hash", ident.content_hash(df))
+    left = tx.settle(df, {"job_id": ident.job_id(df), "content_hash": ident.content_hash(df)})
     record = history.select("job_id", F.struct(
         "first_seen", "last_seen", "last_sent", "sent_count", "content_hash").alias("_rec"))
     joined = _join(left, record, "job_id", order, spread)
@@ -48,7 +48,7 @@ def annotate_history(df: DataFrame, history: DataFrame, now: Column, skip_days:
     })
     age_seconds = F.unix_timestamp(now) - F.unix_timestamp(F.col("_moment"))
     days = ident.age_days(F.col("_moment"), now)
-    return dated.withColumns({
+    return tx.settle(dated, {
         "history_status": ladder([
             (~known, "NEW"),
             (tx.nz(rec("content_hash")) != F.col("content_hash"), "UPDATED"),
@@ -86,7 +86,7 @@ def annotate_sent_keys(df: DataFrame, sent: DataFrame, now: Column, rotation_day
     An entry without hash counts as unchanged.  Unchanged rows that are not yet
     due get an empty selection_reason.
     """
-    left = df.withColumn("history_key", ident.sent_key(df)).withColumn("row_hash", ident.sent_content_hash(df))
+    left = tx.settle(df, {"history_key": ident.sent_key(df), "row_hash": ident.sent_content_hash(df)})
     record = sent.select(F.col("key").alias("history_key"), F.struct("sent_at", "content_hash").alias("_rec"))
     joined = _join(left, record, "history_key", order, spread)
     known, old = F.col("_rec").isNotNull(), tx.nz(F.col("_rec.content_hash"))

@@ -13,7 +13,7 @@ from siftworks.rules import CleanRules, UrlPatterns, fixed_values as fv
 def classify_results(df: DataFrame, patterns: UrlPatterns, rules: CleanRules) -> DataFrame:
     """Add url_result_type, matched_pattern and result_type."""
     typed = urls.classify_urls(df, patterns)
-    return typed.withColumn("result_type", cl.result_type(typed, rules))
+    return tx.settle(typed, {"result_type": cl.result_type(typed, rules)})
 
 
 def mark_members(df: DataFrame, members: DataFrame, key: str, name: str) -> DataFrame:

@@ -99,7 +99,7 @@ def add_labels(df: DataFrame, book: RuleBook, profile: str = LOCAL, final_url: s
     remote, reason = cl.remote_flag([
         ("title", title), ("description", tx.field(df, "description")), ("snippet", F.col("_body")),
         ("location", tx.field(df, "location")), ("url", url)], book.posting)
-    base = base.withColumns({
+    base = tx.settle(base, {
         "remote": remote, "remote_reason": reason,
         "part_time": cl.is_part_time(F.col("_text"), book.posting),
         "category": cl.category(F.col("_text"), book.posting),
@@ -115,17 +115,17 @@ def add_labels(df: DataFrame, book: RuleBook, profile: str = LOCAL, final_url: s
 
 def add_location_fit(df: DataFrame, book: RuleBook) -> DataFrame:
     place = tx.join_fields(df, ("location", "title", "url"), lower=False)
-    return df.withColumn("location_fit", cl.location_fit(tx.flag(df, "remote"), place, book.student))
+    return tx.settle(df, {"location_fit": cl.location_fit(tx.flag(df, "remote"), place, book.student)})
 
 
 def add_profile_scores(df: DataFrame, book: RuleBook, profile: str = LOCAL) -> DataFrame:
     """Student, candidate, remote and match score; an unwanted title zeroes all."""
     texts = df.withColumn("_ptext", tx.join_fields(df, sc.PROFILE_FIELDS))
     texts = texts.withColumn("_ntext", tx.profile_text(F.col("_ptext"))).withColumn("_rtext", tx.join_fields(df, sc.REMOTE_FIELDS))
-    student = texts.withColumns(sc.student_score(texts, book.student))
+    student = tx.settle(texts, sc.student_score(texts, book.student))
     unwanted = F.col("profile_reason") == "unwanted_title"
     candidate = F.when(unwanted, 0).otherwise(sc.candidate_score(student, book.candidate))
-    out = student.withColumn("candidate_score", candidate)
+    out = tx.settle(student, {"candidate_score": candidate})
     if profile == REMOTE:
         remote = sc.remote_score(out, F.col("candidate_score"), book.remote)
         out = out.withColumn("remote_score", F.when(unwanted, tx.to_int(tx.field(df, "remote_score"))).otherwise(remote))
@@ -146,8 +146,8 @@ def normalize_posting(df: DataFrame, book: RuleBook, profile: str = LOCAL, with_
     raw_url, raw_category = tx.field(df, "url"), tx.field(df, "category")
     searchable = cl.either(
         tx.field(df, "title"), tx.join_fields(df, SNIPPET_FIELDS, lower=False), raw_category)
-    base = df.withColumn("_search", searchable).withColumns({
-        "_url": urls.canonical_url(raw_url), "company": tx.field(df, "company"), "location": tx.field(df, "location")})
+    base = tx.settle(df, {
+        "_search": searchable, "_url": urls.canonical_url(raw_url), "company": tx.field(df, "company"), "location": tx.field(df, "location")})
     # The snippet contains the raw URL, the remote test the canonical one.
     labelled = add_labels(base, book, profile, final_url="_url").drop("_url")
     fitted = add_location_fit(labelled, book).withColumn("search_profile", F.lit(profile))
@@ -157,7 +157,7 @@ def normalize_posting(df: DataFrame, book: RuleBook, profile: str = LOCAL, with_
     found = tx.field(df, "found_at")
     if now is not None:
         found = tx.first_filled(found, F.date_format(now, "yyyy-MM-dd'T'HH:mm:ssXXX"))
-    return scored.withColumns({"priority_bucket": bucket, "found_at": found}).drop("_search")
+    return tx.settle(scored, {"priority_bucket": bucket, "found_at": found}).drop("_search")
 
 
 def rescore(df: DataFrame, book: RuleBook, profile: str = LOCAL) -> DataFrame:
@@ -192,9 +192,7 @@ def normalize_site_hits(df: DataFrame, book: RuleBook) -> DataFrame:
     )
     company = F.when(site == "duckduckgo", "").when(site == "gigroup", tx.first_filled(tx.field(df, "company"), F.lit("Gi Group"))).otherwise(tx.field(df, "company"))
     location = F.when(site == "duckduckgo", "").otherwise(tx.field(df, "location"))
-    base = df.select(
-        *[df[c] for c in df.columns if c not in ("url", "company", "location", "title")],
-        url.alias("url"), title.alias("title"), company.alias("company"), location.alias("location"), snippet.alias("_snip"))
+    base = tx.settle(df, {"url": url, "title": title, "company": company, "location": location, "_snip": snippet})
     wide = site.isin(*FULL_REMOTE_SITES)
     where = lambda value: F.when(wide, value).otherwise("")
     description = F.when(site.isin("talent", "jooble"), F.col("_snip")).otherwise(tx.field(df, "description"))
@@ -205,7 +203,7 @@ def normalize_site_hits(df: DataFrame, book: RuleBook) -> DataFrame:
     text = cl.either(F.col("title"), F.col("_snip"))
     with_query = cl.either(F.col("title"), F.col("_snip"), asked)
     everything = cl.either(F.col("title"), F.col("_snip"), F.col("company"), F.col("location"), query)
-    labelled = base.withColumns({
+    labelled = tx.settle(base, {
         "remote": remote, "remote_reason": reason, "part_time": cl.is_part_time(with_query, book.posting),
         "category": cl.category(text, book.posting), "score": cl.base_score(with_query, book.posting),
         "description": description, "_everything": everything, "source": site,
