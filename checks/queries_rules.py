@@ -45,8 +45,8 @@ def phrase_match(spark, folder):
 @query("rule_theta_join", "SELECT doc_id, array_to_string(list_filter([" + ", ".join(
     f"CASE WHEN {s.has_word('lower(text)', p)} THEN {s.q(p)} END" for p in PHRASES) + "], lambda x: x IS NOT NULL), ',') AS phrases FROM documents")
 def rule_theta_join(spark, folder):
-    df = table(spark, folder, "documents").select("doc_id", F.lower("text").alias("low"))
-    return df.select("doc_id", F.array_join(sc.matched_phrases(F.col("low"), PHRASES), ",").alias("phrases"))
+    df = tx.settle(table(spark, folder, "documents").select("doc_id", "text"), {"low": F.lower("text")})
+    return tx.find_phrases(df, "low", PHRASES, "found").select("doc_id", F.array_join("found", ",").alias("phrases"))
 
 
 FLAG, REASON = r.remote_sql([("title", "title"), ("description", "description"), ("location", "location"), ("url", "url"), ("query", "query")])
@@ -65,7 +65,7 @@ LTEXT = "t AS (SELECT *, lower(concat_ws(' ', title, description)) AS lt FROM po
 
 def with_text(spark, folder):
     df = postings(spark, folder)
-    return df.withColumn("lt", cl.either(df["title"], df["description"]))
+    return tx.settle(df, {"lt": cl.either(df["title"], df["description"])})
 
 
 @query("category_rule", P(LTEXT) + f"SELECT seq, {r.category_sql('lt')} AS category, {s.any_of('lt', BOOK.posting.part_time)} AS part_time FROM t")
@@ -117,7 +117,7 @@ def remote_quality(spark, folder):
 @query("first_match_label", QUALITY + "SELECT seq, normalized_remote_category, country_restriction, employment_type FROM ql")
 def first_match_label(spark, folder):
     df = postings(spark, folder)
-    df = df.withColumn("q", sc.quality_text(df))
+    df = tx.settle(df, {"q": sc.quality_text(df)})
     text, rules = F.col("q"), BOOK.quality
     return df.select(
         "seq", tx.first_label(text, rules.categories, "Other").alias("normalized_remote_category"),
@@ -128,8 +128,9 @@ def first_match_label(spark, folder):
 @query("salary_extract", QUALITY + "SELECT seq, salary_min, salary_max, currency, salary_text FROM ql")
 def salary_extract(spark, folder):
     df = postings(spark, folder)
-    df = df.withColumn("q", sc.quality_text(df))
-    return df.select("seq", *[c.alias(n) for n, c in sc.salary(df, F.col("q")).items()])
+    df = tx.settle(df, {"q": sc.quality_text(df)})
+    df = tx.settle(df, {"span": sc.money_span(F.col("q"))})
+    return df.select("seq", *[c.alias(n) for n, c in sc.salary(df, F.col("span")).items()])
 
 
 @query("student_score", NORM + "SELECT seq, student_score, profile_reason, matched_keyword FROM norm")

@@ -13,6 +13,7 @@ only run on rows that can match.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -59,8 +60,9 @@ def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     expressions in one place, for the optimizer and at run time.
     """
     kept = [F.col(f"`{name}`") for name in df.columns if name not in columns]
-    row = F.struct(*[value.alias(name) for name, value in columns.items()])
-    return df.select(*kept, F.inline(F.array(row)))
+    computed = df.select(*kept, *[value.alias(f"_settle_{name}") for name, value in columns.items()])
+    row = F.struct(*[F.col(f"_settle_{name}").alias(name) for name in columns])
+    return computed.select(*kept, F.inline(F.array(row)))
 
 
 def blank_to_null(value: Column) -> Column:
@@ -137,7 +139,7 @@ def group_points(text: Column, groups) -> Column:
 # --- whole-word dialect -----------------------------------------------------
 
 def phrase_regex(phrase: str) -> str:
-    return r"\b" + re.escape(phrase.lower()) + r"\b"
+    return r"(?U)\b" + re.escape(phrase.lower()) + r"\b"
 
 
 def has_word(text: Column, phrase: str) -> Column:
@@ -152,6 +154,39 @@ def all_phrases(text: Column, phrases: Sequence[str]) -> Column:
     return reduce(and_, [has_word(text, p) for p in phrases])
 
 
+WORD_GAP = r"(?U)\W+"
+
+
+def phrase_words(phrase: str) -> list[str]:
+    """Words of a phrase (driver side, one short string)."""
+    return [word for word in re.split(r"\W+", phrase.lower()) if word]
+
+
+def find_phrases(df: DataFrame, text: str, phrases: Sequence[str], name: str) -> DataFrame:
+    """Add an array column with the whole-word phrases of a lower-case text column.
+
+    The text is cut into words once and met with the vocabulary of all phrases,
+    so the cost hardly depends on the number of phrases.  A one-word phrase is
+    then decided; a longer one is searched for only where all its words occur.
+    """
+    phrases = [p.lower() for p in phrases]
+    rules = [{
+        "phrase": p, "words": phrase_words(p), "rx": phrase_regex(p), "exact": phrase_words(p) == [p],
+    } for p in phrases]
+    vocabulary = sorted({word for rule in rules for word in rule["words"]})
+    words = F.array_intersect(literal_rows(vocabulary, "array<string>"), F.split(F.col(text), WORD_GAP))
+    found = settle(df, {"_words": words})
+    table = literal_rows(rules, "array<struct<phrase:string,words:array<string>,rx:string,exact:boolean>>")
+    hits = F.filter(table, lambda r: (F.size(F.array_except(r["words"], F.col("_words"))) == 0) & (
+        r["exact"] | (F.contains(F.col(text), r["phrase"]) & F.rlike(F.col(text), r["rx"]))))
+    return settle(found, {name: F.transform(hits, lambda r: r["phrase"])}).drop("_words")
+
+
+def literal_rows(rows: list, schema: str) -> Column:
+    """Rule rows as one constant (folded at planning time)."""
+    return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), schema)
+
+
 # --- look-around dialect ----------------------------------------------------
 
 def token_match(text: Column, term: str) -> Column:

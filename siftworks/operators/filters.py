@@ -27,7 +27,8 @@ def region_phrases(df: DataFrame, good: Sequence[str], strong: Sequence[str], ba
 
 
 def signal_or_category(df: DataFrame, rules: WeightedRules) -> DataFrame:
-    return df.filter((tx.field(df, "normalized_remote_category") != "Other") | sc.has_signal(df, rules))
+    flagged = sc.flag_signal(df, rules)
+    return flagged.filter((tx.field(df, "normalized_remote_category") != "Other") | F.col("_signal")).drop("_signal")
 
 
 def min_score_by_source(df: DataFrame, rules: WeightedRules, score: str = "job_score") -> DataFrame:

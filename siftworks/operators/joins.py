@@ -13,7 +13,8 @@ from siftworks.rules import CleanRules, UrlPatterns, fixed_values as fv
 def classify_results(df: DataFrame, patterns: UrlPatterns, rules: CleanRules) -> DataFrame:
     """Add url_result_type, matched_pattern and result_type."""
     typed = urls.classify_urls(df, patterns)
-    return tx.settle(typed, {"result_type": cl.result_type(typed, rules)})
+    texts = tx.settle(typed, {"_body": F.lower(cl.body_text(typed))})
+    return tx.settle(texts, {"result_type": cl.result_type(texts, rules)}).drop("_body")
 
 
 def mark_members(df: DataFrame, members: DataFrame, key: str, name: str) -> DataFrame:

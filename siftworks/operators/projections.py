@@ -94,17 +94,18 @@ def add_labels(df: DataFrame, book: RuleBook, profile: str = LOCAL, final_url: s
     to be built with the raw one; it replaces ``url``.
     """
     title, snippet = tx.field(df, "title"), tx.join_fields(df, SNIPPET_FIELDS, lower=False)
-    base = df.withColumn("_body", snippet).withColumn("_text", cl.either(title, snippet))
+    base = tx.settle(df, {"_body": snippet})
     url = tx.field(df, final_url or "url")
-    remote, reason = cl.remote_flag([
-        ("title", title), ("description", tx.field(df, "description")), ("snippet", F.col("_body")),
-        ("location", tx.field(df, "location")), ("url", url)], book.posting)
+    fields = {"title": title, "description": tx.field(df, "description"), "snippet": F.col("_body"),
+              "location": tx.field(df, "location"), "url": url}
+    base = tx.settle(base, {**{f"_low_{n}": F.lower(v) for n, v in fields.items()}, "_text": cl.either(title, F.col("_body"))})
+    remote, reason = cl.remote_flag([(n, F.col(f"_low_{n}")) for n in fields], book.posting, lowered=True)
     base = tx.settle(base, {
         "remote": remote, "remote_reason": reason,
         "part_time": cl.is_part_time(F.col("_text"), book.posting),
         "category": cl.category(F.col("_text"), book.posting),
         "score": cl.base_score(F.col("_text"), book.posting), "url": url,
-    }).drop("_body", "_text")
+    }).drop("_body", "_text", *[f"_low_{n}" for n in fields])
     kind = F.col("category")
     if profile == REMOTE:
         base = sc.add_quality(base, book.quality)
@@ -120,8 +121,10 @@ def add_location_fit(df: DataFrame, book: RuleBook) -> DataFrame:
 
 def add_profile_scores(df: DataFrame, book: RuleBook, profile: str = LOCAL) -> DataFrame:
     """Student, candidate, remote and match score; an unwanted title zeroes all."""
-    texts = df.withColumn("_ptext", tx.join_fields(df, sc.PROFILE_FIELDS))
-    texts = texts.withColumn("_ntext", tx.profile_text(F.col("_ptext"))).withColumn("_rtext", tx.join_fields(df, sc.REMOTE_FIELDS))
+    texts = tx.settle(df, {"_ptext": tx.join_fields(df, sc.PROFILE_FIELDS)})
+    texts = tx.settle(texts, {
+        "_ntext": tx.profile_text(F.col("_ptext")), "_ntitle": tx.profile_text(tx.field(df, "title")),
+        "_rtext": tx.join_fields(df, sc.REMOTE_FIELDS) if profile == REMOTE else F.lit("")})
     student = tx.settle(texts, sc.student_score(texts, book.student))
     unwanted = F.col("profile_reason") == "unwanted_title"
     candidate = F.when(unwanted, 0).otherwise(sc.candidate_score(student, book.candidate))
@@ -137,7 +140,7 @@ def add_profile_scores(df: DataFrame, book: RuleBook, profile: str = LOCAL) -> D
         "match_score": F.when(unwanted, 0).otherwise(match),
         "negative_reason": F.when(unwanted, "excluded title unwanted_title").otherwise(tx.field(df, "negative_reason")),
         "selection_rejection_reason": F.when(unwanted, "unwanted_title").otherwise(tx.field(df, "selection_rejection_reason")),
-    }).drop("_ptext", "_ntext", "_rtext")
+    }).drop("_ptext", "_ntext", "_ntitle", "_rtext")
 
 
 def normalize_posting(df: DataFrame, book: RuleBook, profile: str = LOCAL, with_scores: bool = True,
@@ -196,18 +199,18 @@ def normalize_site_hits(df: DataFrame, book: RuleBook) -> DataFrame:
     wide = site.isin(*FULL_REMOTE_SITES)
     where = lambda value: F.when(wide, value).otherwise("")
     description = F.when(site.isin("talent", "jooble"), F.col("_snip")).otherwise(tx.field(df, "description"))
-    remote, reason = cl.remote_flag([
-        ("title", F.col("title")), ("description", where(description)), ("snippet", F.col("_snip")),
-        ("location", where(F.col("location"))), ("url", where(F.col("url")))], book.posting)
+    fields = {"title": F.col("title"), "description": where(description), "snippet": F.col("_snip"),
+              "location": where(F.col("location")), "url": where(F.col("url"))}
     asked = F.when(site.isin(*QUERY_SITES), query).otherwise("")
-    text = cl.either(F.col("title"), F.col("_snip"))
-    with_query = cl.either(F.col("title"), F.col("_snip"), asked)
     everything = cl.either(F.col("title"), F.col("_snip"), F.col("company"), F.col("location"), query)
+    base = tx.settle(base, {
+        **{f"_low_{n}": F.lower(v) for n, v in fields.items()}, "_text": cl.either(F.col("title"), F.col("_snip")),
+        "_asked": cl.either(F.col("title"), F.col("_snip"), asked), "_everything": everything, "description": description})
+    remote, reason = cl.remote_flag([(n, F.col(f"_low_{n}")) for n in fields], book.posting, lowered=True)
     labelled = tx.settle(base, {
-        "remote": remote, "remote_reason": reason, "part_time": cl.is_part_time(with_query, book.posting),
-        "category": cl.category(text, book.posting), "score": cl.base_score(with_query, book.posting),
-        "description": description, "_everything": everything, "source": site,
-    })
+        "remote": remote, "remote_reason": reason, "part_time": cl.is_part_time(F.col("_asked"), book.posting),
+        "category": cl.category(F.col("_text"), book.posting), "score": cl.base_score(F.col("_asked"), book.posting), "source": site,
+    }).drop("_text", "_asked", *[f"_low_{n}" for n in fields])
     return labelled.withColumns({
         "normalized_category": F.col("category"),
         "smart_working": tx.flag(df, "smart_working") | (site.isin(*DETAIL_SITES) & F.col("remote")),

@@ -37,8 +37,9 @@ def score_funnel(df: DataFrame, book: RuleBook, order: str = "seq") -> DataFrame
     """
     unique = dedup.dedup_two_stage(df, order)
     labelled = sc.add_quality(unique, book.quality)
-    signal = (tx.field(labelled, "normalized_remote_category") != "Other") | sc.has_signal(labelled, book.weighted)
-    scored = sc.add_weighted_score(labelled.withColumn("_signal", signal), book.weighted)
+    flagged = sc.flag_signal(labelled, book.weighted)
+    signal = (tx.field(labelled, "normalized_remote_category") != "Other") | F.col("_signal")
+    scored = sc.add_weighted_score(flagged.withColumn("_signal", signal), book.weighted)
     threshold = F.coalesce(
         *[F.when(tx.field(scored, "source") == s, F.lit(n)) for s, n in book.weighted.min_score_by_source.items()],
         F.lit(book.weighted.default_min_score))
