@@ -119,5 +119,7 @@ def annotated(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated, classified and history-annotated postings (the selection input)."""
     from checks.corpus import BOOK
     from siftworks.operators import dedup, history as hs, joins as jn
+    from siftworks.session import cut
     rows = jn.classify_results(normalized(spark, folder), BOOK.patterns, BOOK.clean)
-    return hs.annotate_history(dedup.dedup_postings(rows), history(spark, folder, rows), now())
+    # Selection, write-back and statistics all start here: compute it once.
+    return cut(hs.annotate_history(dedup.dedup_postings(rows), history(spark, folder, rows), now()))

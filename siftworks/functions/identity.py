@@ -97,9 +97,9 @@ def parse_time(value: Column) -> Column:
 def age_days(moment: Column, now: Column) -> Column:
     """Whole days from a moment to ``now``, not below 0; null when unknown."""
     seconds = F.unix_timestamp(now) - F.unix_timestamp(moment)
-    return F.greatest(F.lit(0), F.floor(seconds / 86400).cast("int"))
+    return F.when(moment.isNotNull(), F.greatest(F.lit(0), F.floor(seconds / 86400).cast("int")))
 
 
 def calendar_age_days(day: Column, now: Column, zone: str = "Europe/Rome") -> Column:
     """Calendar days between a date and the local date of ``now``."""
-    return F.greatest(F.lit(0), F.datediff(F.to_date(F.from_utc_timestamp(now, zone)), day))
+    return F.when(day.isNotNull(), F.greatest(F.lit(0), F.datediff(F.to_date(F.from_utc_timestamp(now, zone)), day)))
