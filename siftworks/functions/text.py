@@ -341,8 +341,9 @@ def split_title(value: Column) -> tuple[Column, Column]:
 def distinct_items(items: Column) -> Column:
     """Case-insensitive first occurrences of a text array, blanks dropped."""
     cleaned = F.filter(F.transform(items, lambda x: strip_space(x)), lambda x: x != "")
-    keys = F.transform(cleaned, lambda x: F.lower(x))
-    return F.filter(cleaned, lambda x, i: F.array_position(keys, F.lower(x)) == i + 1)
+    rows = let(cleaned, lambda c: F.struct(c.alias("items"), F.transform(c, lambda x: F.lower(x)).alias("keys")))
+    return let(rows, lambda r: F.transform(
+        F.array_distinct(r["keys"]), lambda key: F.get(r["items"], (F.array_position(r["keys"], key) - 1).cast("int"))))
 
 
 def to_int(value: Column) -> Column:

@@ -15,7 +15,7 @@ SCORES = ("match_score", "student_score", "candidate_score", "score")
 
 
 def by_scores(df: DataFrame, names=SCORES) -> list[Column]:
-    return [rs.score_of(df, name).desc() for name in names]
+    return [rs.score_of(df, name).desc() for name in names if name in df.columns]
 
 
 def status_order(df: DataFrame, order: str = "seq") -> list[Column]:

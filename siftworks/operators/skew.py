@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from siftworks.session import cut
+
 MAX_HOT_KEYS = 256
 
 
@@ -30,7 +32,11 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: str
     shuffled as usual.  ``right`` must not itself have hot keys (all callers
     join to one row per key).  ``how`` is left, left_semi or left_anti.
     """
-    hot = F.broadcast(hot_keys(left, key, min_rows))
+    # At most MAX_HOT_KEYS rows; materialised so that the sketch is built once.
+    found = cut(hot_keys(left, key, min_rows))
+    if found.isEmpty():
+        return left.join(right, key, how)
+    hot = F.broadcast(found)
     bucket = F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)).cast("int")
     spread = (
         left.join(hot, left[key] == hot["_hot"], "left")
