@@ -12,7 +12,7 @@ from siftworks.functions import classify as cl, identity as ident, reasons as rs
 from siftworks.operators import aggregates as ag, dedup, filters as fl, history as hs, joins as jn, selection as sel
 from siftworks.operators import projections as pj
 from siftworks.rules import fixed_values as fv
-from siftworks.session import scratch_path
+from siftworks.session import cut, scratch_path
 from siftworks.sources import files
 
 CLS = r.run(r.classified_ctes(), "")
@@ -117,7 +117,7 @@ HIST_COLS = "history_status, days_since_last_sent, rotation_eligible, sent_count
 
 @query("history_annotate_join", IDS + "SELECT seq, " + HIST_COLS + " FROM (" + r.ANNOTATE.format(source="ids") + ")")
 def history_annotate_join(spark, folder):
-    rows = normalized(spark, folder)
+    rows = cut(normalized(spark, folder))
     out = hs.annotate_history(rows, history(spark, folder, rows), now(), spread=True)
     return out.select("seq", *HIST_COLS.split(", "))
 
@@ -127,7 +127,7 @@ SELECT d.seq, coalesce(h.first_seen, d.found_at) AS first_seen, coalesce(h.last_
  CASE WHEN coalesce(h.last_sent, '') <> '' THEN CAST(h.age AS INTEGER) END AS days_since_last_sent,
  coalesce(h.sent_count > 0 AND h.last_sent <> '' AND h.age >= 7, false) AS rotation_eligible FROM ids d LEFT JOIN history h USING (job_id)""")
 def pool_history_join(spark, folder):
-    rows = normalized(spark, folder)
+    rows = cut(normalized(spark, folder))
     keyed = rows.withColumn("job_id", ident.job_id(rows))
     out = hs.attach_pool_history(keyed, history(spark, folder, rows), now())
     return out.select("seq", "first_seen", "last_sent", "sent_count", "days_since_last_sent", "rotation_eligible")

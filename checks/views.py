@@ -120,6 +120,7 @@ def annotated(spark: SparkSession, folder: str) -> DataFrame:
     from checks.corpus import BOOK
     from siftworks.operators import dedup, history as hs, joins as jn
     from siftworks.session import cut
-    rows = jn.classify_results(normalized(spark, folder), BOOK.patterns, BOOK.clean)
+    # The history of this view is derived from the same postings, so label them once.
+    rows = cut(jn.classify_results(normalized(spark, folder), BOOK.patterns, BOOK.clean))
     # Selection, write-back and statistics all start here: compute it once.
     return cut(hs.annotate_history(dedup.dedup_postings(rows), history(spark, folder, rows), now()))
