@@ -27,8 +27,9 @@ def region_phrases(df: DataFrame, good: Sequence[str], strong: Sequence[str], ba
 
 
 def signal_or_category(df: DataFrame, rules: WeightedRules) -> DataFrame:
-    flagged = sc.flag_signal(df, rules)
-    return flagged.filter((tx.field(df, "normalized_remote_category") != "Other") | F.col("_signal")).drop("_signal")
+    found = df if "_matched" in df.columns else sc.add_matched(df, rules)
+    kept = found.filter((tx.field(df, "normalized_remote_category") != "Other") | sc.has_signal(rules))
+    return kept if "_matched" in df.columns else kept.drop("_matched")
 
 
 def min_score_by_source(df: DataFrame, rules: WeightedRules, score: str = "job_score") -> DataFrame:

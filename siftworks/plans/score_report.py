@@ -17,7 +17,7 @@ def scored_rows(df: DataFrame, book: RuleBook, order: str = "seq") -> DataFrame:
     """
     unique = dedup.dedup_two_stage(df, order)
     labelled = sc.add_quality(unique, book.quality)
-    signalled = fl.signal_or_category(labelled, book.weighted)
+    signalled = fl.signal_or_category(sc.add_matched(labelled, book.weighted), book.weighted)
     scored = sc.add_weighted_score(signalled, book.weighted)
     kept = fl.min_score_by_source(scored, book.weighted)
     return kept.withColumn("apply_priority", cl.apply_priority(F.col("job_score"), book.weighted.high, book.weighted.medium))
@@ -37,9 +37,9 @@ def score_funnel(df: DataFrame, book: RuleBook, order: str = "seq") -> DataFrame
     """
     unique = dedup.dedup_two_stage(df, order)
     labelled = sc.add_quality(unique, book.quality)
-    flagged = sc.flag_signal(labelled, book.weighted)
-    signal = (tx.field(labelled, "normalized_remote_category") != "Other") | F.col("_signal")
-    scored = sc.add_weighted_score(flagged.withColumn("_signal", signal), book.weighted)
+    found = sc.add_matched(labelled, book.weighted)
+    signal = (tx.field(labelled, "normalized_remote_category") != "Other") | sc.has_signal(book.weighted)
+    scored = sc.add_weighted_score(tx.settle(found, {"_signal": signal}), book.weighted)
     threshold = F.coalesce(
         *[F.when(tx.field(scored, "source") == s, F.lit(n)) for s, n in book.weighted.min_score_by_source.items()],
         F.lit(book.weighted.default_min_score))
