@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siftworks.llm.common import table
+from siftworks.llm.decontaminate import edit_matches
 from siftworks.llm.ngram_join import ngram_jaccard_join
+from siftworks.llm.quality_rules import quality_rules
+from siftworks.llm.secret_scan import secret_scan
+from siftworks.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,3 +27,23 @@ def query(key: str):
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), 3, 90)
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op6_decontaminate")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
