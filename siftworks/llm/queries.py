@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftworks.llm.common import table
+from siftworks.llm.common import fold, table
 from siftworks.llm.decontaminate import edit_matches
+from siftworks.llm.html_extract import extract_main_text
+from siftworks.llm.language_id import identify
 from siftworks.llm.ngram_join import ngram_jaccard_join
 from siftworks.llm.quality_rules import quality_rules
 from siftworks.llm.secret_scan import secret_scan
+from siftworks.llm.toxicity import toxicity
 from siftworks.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +50,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontaminate")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 0
+    found = identify(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 3) == 1
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op3_html_extract")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
