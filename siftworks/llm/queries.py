@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftworks.llm.chat_format import format_turns, read_back, with_probe
 from siftworks.llm.common import fold, table
 from siftworks.llm.decontaminate import edit_matches
 from siftworks.llm.html_extract import extract_main_text
@@ -69,3 +70,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_html_extract")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op1_chat_format")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_back(format_turns(with_probe(table(spark, sf_dir, "conversations"))))
