@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,13 @@ from siftworks.llm.language_id import identify
 from siftworks.llm.ngram_join import ngram_jaccard_join
 from siftworks.llm.quality_rules import quality_rules
 from siftworks.llm.secret_scan import secret_scan
+from siftworks.llm.sentencepiece_codec import encode_documents
 from siftworks.llm.toxicity import toxicity
 from siftworks.llm.warc import archive_round_trip
 
+# Model file of a public tokenizer; another may be named in the environment.
+TOKENIZER = os.environ.get("SIFTWORKS_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -75,3 +80,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_chat_format")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(with_probe(table(spark, sf_dir, "conversations"))))
+
+
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), TOKENIZER)
