@@ -123,42 +123,67 @@ def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(describe, "doc_id long, size long, digest binary, prefix array<long>, bits binary")
 
 
-def _fold(bits: np.ndarray, width: int) -> np.ndarray:
-    while len(bits) > width:
-        half = len(bits) // 2
-        bits = bits[:half] ^ bits[half:]
-    return bits
+def _apart(a: int, b: int, width_a: int, width_b: int) -> int:
+    """Differing slots of two bitmaps held as integers, the wider one folded."""
+    while width_a != width_b:
+        if width_a > width_b:
+            width_a //= 2
+            a = (a >> width_a) ^ (a & ((1 << width_a) - 1))
+        else:
+            width_b //= 2
+            b = (b >> width_b) ^ (b & ((1 << width_b) - 1))
+    return (a ^ b).bit_count()
+
+
+def _few_open(sizes, classes, bits, percent: int):
+    """As _open_pairs, for lists of a few members: plain integers, made only where sizes and classes allow the pair."""
+    found, made = [], {}
+
+    def value(i: int) -> int:
+        if i not in made:
+            made[i] = int.from_bytes(bits[i], "little")
+        return made[i]
+
+    for i in range(len(sizes) - 1):
+        for j in range(i + 1, len(sizes)):
+            a, b = sizes[i], sizes[j]
+            if classes[i] == classes[j] or 100 * min(a, b) < percent * max(a, b):
+                continue
+            apart = _apart(value(i), value(j), 8 * len(bits[i]), 8 * len(bits[j]))
+            most = (a + b - apart) // 2
+            if 100 * most >= percent * (a + b - most):
+                found.append((i, j, apart))
+    return (np.array([f[k] for f in found], np.int64) for k in range(3))
 
 
-def _open_pairs(ids, sizes, classes, maps, left, percent: int):
+def _open_pairs(sizes, classes, bits, left, percent: int):
     """Pairs (i, j) of one list that may link: other class, sizes and bitmaps allow it. left: only pairs across that mark."""
+    if len(sizes) <= 12 and left is None:
+        return _few_open(sizes.tolist(), classes.tolist(), bits, percent)
     found_i, found_j, found_d = [], [], []
-    widths = np.array([len(m) for m in maps])
-    stacked = np.stack(maps) if len(set(widths.tolist())) == 1 else None
-    for i in range(len(ids) - 1):
-        rest = np.arange(i + 1, len(ids))
-        small, big = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
-        ok = (100 * small >= percent * big) & (classes[rest] != classes[i])
+    none = np.empty(0, np.int64)
+    widths = np.array([8 * len(b) for b in bits])
+    values = [int.from_bytes(b, "little") for b in bits] if len(np.unique(widths)) > 1 else None
+    stacked = np.stack([np.frombuffer(b, np.uint64) for b in bits]) if values is None else None
+    for i in range(len(sizes) - 1):
+        small, big = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
+        ok = (100 * small >= percent * big) & (classes[i + 1:] != classes[i])
         if left is not None:
-            ok &= left[rest] != left[i]
-        rest = rest[ok]
+            ok &= left[i + 1:] != left[i]
+        rest = np.flatnonzero(ok) + i + 1
         if not len(rest):
             continue
         if stacked is not None:
             apart = np.bitwise_count(stacked[rest] ^ stacked[i]).sum(axis=1, dtype=np.int64)
         else:
-            apart = np.empty(len(rest), np.int64)
-            for k, j in enumerate(rest):
-                width = min(widths[i], widths[j])
-                apart[k] = np.bitwise_count(_fold(maps[i], width) ^ _fold(maps[j], width)).sum()
-        most = (sizes[i] + sizes[rest] - apart) // 2
-        ok = links(most, sizes[i], sizes[rest], percent)
+            apart = np.array([_apart(values[i], values[j], int(widths[i]), int(widths[j])) for j in rest], np.int64)
+        ok = links((sizes[i] + sizes[rest] - apart) // 2, sizes[i], sizes[rest], percent)
         if ok.any():
             found_i.append(np.full(int(ok.sum()), i))
             found_j.append(rest[ok])
             found_d.append(apart[ok])
     if not found_i:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none, none
     return np.concatenate(found_i), np.concatenate(found_j), np.concatenate(found_d)
 
 
@@ -186,16 +211,12 @@ def _forest(i: np.ndarray, j: np.ndarray, apart: np.ndarray, ids: np.ndarray, cl
 
 def _proposals(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Pairs (a, b), a < b, proposed by the lists (columns list, x, y, doc, size, class, bits; rows of a list and block pair together)."""
-    def of_list(frame: pd.DataFrame):
-        order = np.lexsort((frame["doc"].to_numpy(), frame["size"].to_numpy()))
-        frame = frame.iloc[order]
-        ids, sizes, classes = (frame[c].to_numpy(np.int64) for c in ("doc", "size", "class"))
+    def of_list(ids, sizes, classes, bits, left):
         if (classes == classes[0]).all():
             return None
-        maps = [np.frombuffer(b, np.uint8) for b in frame["bits"]]
-        maps = [m.view(np.uint64) for m in maps]
-        left = (frame["mine"] == frame["x"]).to_numpy() if frame["x"].iat[0] != frame["y"].iat[0] else None
-        i, j, apart = _open_pairs(ids, sizes, classes, maps, left, percent)
+        order = np.lexsort((ids, sizes))
+        ids, sizes, classes, bits = ids[order], sizes[order], classes[order], [bits[k] for k in order]
+        i, j, apart = _open_pairs(sizes, classes, bits, None if left is None else left[order], percent)
         if forest and len(i) > 1:
             chosen = _forest(i, j, apart, ids, classes)
             i, j = i[chosen], j[chosen]
@@ -205,9 +226,11 @@ def _proposals(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
         held = None
         out_a, out_b = [], []
 
-        def take(part: pd.DataFrame) -> None:
-            if len(part) > 1:
-                found = of_list(part)
+        def take(part: dict[str, np.ndarray], begin: int, end: int) -> None:
+            if end - begin > 1:
+                at = slice(begin, end)
+                left = part["mine"][at] == part["x"][begin] if part["x"][begin] != part["y"][begin] else None
+                found = of_list(part["doc"][at], part["size"][at], part["class"][at], part["bits"][at], left)
                 if found is not None and len(found[0]):
                     out_a.append(found[0])
                     out_b.append(found[1])
@@ -222,17 +245,19 @@ def _proposals(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
         for frame in frames:
             if held is not None:
                 frame = pd.concat([held, frame], ignore_index=True)
-            key = frame[["list", "x", "y"]].to_numpy(np.int64)
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            part = {c: frame[c].to_numpy() for c in frame.columns}
+            change = np.zeros(max(0, len(frame) - 1), bool)
+            for c in ("list", "x", "y"):
+                change |= part[c][1:] != part[c][:-1]
             begin = 0
-            for cut in cuts:
-                take(frame.iloc[begin:cut])
+            for cut in (np.flatnonzero(change) + 1).tolist():
+                take(part, begin, cut)
                 begin = cut
             held = frame.iloc[begin:]
             if sum(map(len, out_a)) > 50_000:
                 yield flush()
-        if held is not None:
-            take(held)
+        if held is not None and len(held):
+            take({c: held[c].to_numpy() for c in held.columns}, 0, len(held))
         yield flush()
 
     dealt = lists.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y")
@@ -281,16 +306,19 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """(doc_id, n_shingles, component_id): the set size and the smallest doc_id reachable by links of Jaccard >= percent / 100."""
     known = kept_table(features(docs, n, percent), "features")
     own = known.where("size > 0 and doc_id is not null")
-    groups = kept_table(own.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.count("*").alias("members"),
-                                                  F.first("size").alias("size")), "groups")
-    members = kept_table(own.join(groups.select("doc"), F.col("doc_id") == F.col("doc"))
-                         .select("digest", "doc", "size", "prefix", "bits").dropDuplicates(["doc"]), "members")
+    each = own.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.count("*").alias("members"), F.min_by(F.struct("size", "prefix", "bits"), "doc_id").alias("of"))
+    members = kept_table(each.select("digest", "doc", "members", "of.*"), "members")
+    groups = members.select("digest", "doc", "members")
     postings = members.select("doc", "size", F.explode("prefix").alias("list"))
-    shared = kept_table(postings.withColumn("m", F.count("*").over(Window.partitionBy("list"))).where("m > 1"), "postings")
+    # A member stays in a list where a neighbour by size may link; so lists of one go, too.
+    by_size = Window.partitionBy("list").orderBy("size", "doc")
+    shared = postings.withColumn("under", F.lag("size").over(by_size)).withColumn("over", F.lead("size").over(by_size))
+    shared = kept_table(shared.where((100 * F.col("under") >= percent * F.col("size")) | (100 * F.col("size") >= percent * F.col("over")))
+                        .select("list", "doc", "size"), "postings")
     # Lists with the same members are one list: a set digest finds them without gathering members.
-    marks = shared.groupBy("list").agg(F.first("m").alias("m"), F.bit_xor(F.xxhash64("doc")).alias("p"),
+    marks = shared.groupBy("list").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("doc")).alias("p"),
                                        F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("q"))
-    chosen = marks.groupBy("m", "p", "q").agg(F.min("list").alias("list")).select("list")
+    chosen = marks.groupBy("m", "p", "q").agg(F.min("list").alias("list")).select("list", "m")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     dealt = (shared.join(chosen, "list").withColumn("blocks", blocks)
              .withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
