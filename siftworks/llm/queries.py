@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftworks.llm import oracles
 from siftworks.llm.chat_format import format_turns, read_back, with_probe
 from siftworks.llm.common import fold, table
 from siftworks.llm.decontaminate import edit_matches
@@ -23,7 +24,7 @@ from siftworks.llm.warc import archive_round_trip
 TOKENIZER = os.environ.get("SIFTWORKS_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_chat_format": oracles.CHAT, "op4_warc": oracles.WARC, "op9_ngram_jaccard_join": oracles.NGRAM_JOIN}
 
 
 def query(key: str):
