@@ -89,12 +89,7 @@ def sent_history_scan(spark, folder):
     path = scratch_path(spark, "state")
     df.select("seq", F.when(F.col("seq") % 2 == 0, as_list).otherwise(as_map).alias("value")).write.parquet(path)
     raw = spark.read.parquet(path)
-    # Records of many files: the file order takes the place of the record position.
-    rows = raw.select("seq", F.posexplode(F.coalesce(
-        F.when(F.startswith("value", F.lit("[")), F.from_json("value", f"array<{files.HISTORY_RECORD}>")),
-        F.map_values(F.from_json("value", f"map<string,{files.HISTORY_RECORD}>")))).alias("pos", "rec"))
-    rows = rows.filter(tx.nz(F.col("rec.job_id")) != "").select("seq", "rec.*")
-    return dedup.keep_last(rows, ["job_id"], "seq").select("job_id", "title", "sent_count")
+    return files.history_rows(raw, order="seq").select("job_id", "title", "sent_count")
 
 
 @query("sent_history_ttl_scan", s.with_postings() + f"""
@@ -291,11 +286,10 @@ def balanced_quota_topk(spark, folder):
 RANKED = "CAST(row_number() OVER (ORDER BY {o}) AS INTEGER) AS rank"
 
 
-@query("status_score_sort", ANN + f"SELECT * FROM (SELECT seq, history_status, match_score, {RANKED.format(o=r.STATUS_RANK + ', ' + r.SCORE_ORDER)} FROM ann) WHERE rank <= 200")
+@query("status_score_sort", ANN + f"SELECT * FROM (SELECT seq, history_status, match_score, {RANKED.format(o=r.STATUS_RANK + ', ' + r.SCORE_ORDER)} FROM ann)")
 def status_score_sort(spark, folder):
     df = annotated(spark, folder)
-    top = df.orderBy(*sel.status_order(df)).limit(200)
-    return sel.rank_rows(top, sel.status_order(top)).select("seq", "history_status", "match_score", "rank")
+    return sel.rank_all(df, sel.status_order(df), ["seq", "history_status", "match_score"])
 
 
 PART_FIRST = "(priority_bucket = 'campania_part_time') DESC, remote DESC, match_score DESC, student_score DESC, score DESC, seq"
@@ -308,11 +302,10 @@ def local_part_time_first(spark, folder):
     return sel.rank_rows(top, sel.local_part_time_order(top)).select("seq", "priority_bucket", "remote", "rank")
 
 
-@query("pool_sort", NORM + f"SELECT * FROM (SELECT seq, {SCORES}, {RANKED.format(o=r.SCORE_ORDER)} FROM norm) WHERE rank <= 300")
+@query("pool_sort", NORM + f"SELECT * FROM (SELECT seq, {SCORES}, {RANKED.format(o=r.SCORE_ORDER)} FROM norm)")
 def pool_sort(spark, folder):
     df = normalized(spark, folder)
-    top = df.orderBy(*sel.pool_order(df)).limit(300)
-    return sel.rank_rows(top, sel.pool_order(top)).select("seq", *SCORES.split(", "), "rank")
+    return sel.rank_all(df, sel.pool_order(df), ["seq", *SCORES.split(", ")])
 
 
 @query("report_sort_top", MARK + f"""SELECT * FROM (SELECT seq, selection_reason, match_score,

@@ -92,7 +92,7 @@ def page_extent(spark, folder):
     # The navigation of the given pages has no paging links; the page's own URL is linked to it.
     df = table(spark, folder, "pages")
     linked = F.concat(F.col("html"), F.lit('<a href="'), F.col("url"), F.lit('">'))
-    return df.select("page_id", urls.page_extent(linked).alias("last_page"))
+    return df.select("page_id", urls.page_extent(linked, 20).alias("last_page"))
 
 
 # --- dedup ------------------------------------------------------------------------------

@@ -17,6 +17,7 @@ import json
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from html.entities import html5
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -217,49 +218,69 @@ def first_token_label(text: Column, labelled, otherwise: str) -> Column:
 
 # --- markup -----------------------------------------------------------------
 
-# Named character references that occur in job pages; numeric ones are decoded
-# by rule below.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&agrave;", "à"), ("&egrave;", "è"), ("&eacute;", "é"), ("&igrave;", "ì"),
-    ("&ograve;", "ò"), ("&ugrave;", "ù"), ("&Agrave;", "À"), ("&Egrave;", "È"),
-    ("&Eacute;", "É"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&euro;", "€"),
-    ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&bull;", "•"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&pound;", "£"), ("&deg;", "°"),
-)
-NUMERIC_ENTITY = r"&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"
+# Named character references: the standard library's table of HTML5. Names that may stand without a semicolon are matched longest first.
+NAMED = {f"&{name}": character for name, character in html5.items()}
+BARE = "|".join(sorted((re.escape(name) for name in html5 if not name.endswith(";")), key=len, reverse=True))
+REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{BARE}))"
+# Code points 128 to 159 are read as windows-1252, where it has a character.
+REMAPPED = {str(c): bytes([c]).decode("cp1252") for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def _table(values: dict[str, str]) -> Column:
+    """A constant map, handed over as one literal."""
+    return F.from_json(F.lit(json.dumps(values)), F.lit("map<string,string>"))
 
 
 def _numeric_character(reference: Column) -> Column:
-    body = F.substring(reference, 3, 16)
-    digits = F.rtrim(body, F.lit(";"))
-    code = F.when(
-        F.lower(F.substring(digits, 1, 1)) == "x",
-        F.conv(F.substring(digits, 2, 16), 16, 10).cast("int"),
-    ).otherwise(digits.cast("int"))
-    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    # UTF-8 bytes of the code point, built with integer arithmetic.
-    tail = lambda shift: F.lit(0x80) + F.shiftright(code, shift).bitwiseAND(F.lit(0x3F))
-    as_hex = lambda *parts: F.concat(*[F.lpad(F.hex(p), 2, "0") for p in parts])
-    encoded = (
-        F.when(code < 0x80, as_hex(code))
-        .when(code < 0x800, as_hex(F.lit(0xC0) + F.shiftright(code, 6), tail(0)))
-        .when(code < 0x10000, as_hex(F.lit(0xE0) + F.shiftright(code, 12), tail(6), tail(0)))
-        .otherwise(as_hex(F.lit(0xF0) + F.shiftright(code, 18), tail(12), tail(6), tail(0)))
-    )
-    return F.when(valid, F.decode(F.unhex(encoded), "UTF-8")).otherwise(F.lit("\ufffd"))
+    digits = F.regexp_extract(reference, "^&#[xX]?([0-9A-Fa-f]+)", 1)
+    is_hex = F.lower(F.substring(reference, 3, 1)) == "x"
+    short = F.regexp_replace(digits, "^0+(?=.)", "")
+    code = F.when(F.length(short) > 7, F.lit(0x110000)).otherwise(
+        F.when(is_hex, F.conv(short, 16, 10).cast("int")).otherwise(short.cast("int")))
+
+    def character(code: Column) -> Column:
+        bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        gone = code.between(1, 8) | (code == 0x0B) | code.between(0x0E, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+        # UTF-8 bytes of the code point, built with integer arithmetic.
+        tail = lambda shift: F.lit(0x80) + F.shiftright(code, shift).bitwiseAND(F.lit(0x3F))
+        as_hex = lambda *parts: F.concat(*[F.lpad(F.hex(p), 2, "0") for p in parts])
+        encoded = (
+            F.when(code < 0x80, as_hex(code))
+            .when(code < 0x800, as_hex(F.lit(0xC0) + F.shiftright(code, 6), tail(0)))
+            .when(code < 0x10000, as_hex(F.lit(0xE0) + F.shiftright(code, 12), tail(6), tail(0)))
+            .otherwise(as_hex(F.lit(0xF0) + F.shiftright(code, 18), tail(12), tail(6), tail(0)))
+        )
+        mapped = F.when(code.between(0x80, 0x9F), F.element_at(_table(REMAPPED), code.cast("string")))
+        return F.when(bad, F.lit("\ufffd")).when(gone, F.lit("")).otherwise(F.coalesce(mapped, F.decode(F.unhex(encoded), "UTF-8")))
+
+    return let(code, character)
+
+
+def _character(reference: Column) -> Column:
+    """What one reference stands for; unknown names stay, known beginnings of them are decoded."""
+    bare = F.regexp_extract(reference, f"^&(?:{BARE})", 0)
+    named = F.coalesce(
+        F.element_at(_table(NAMED), reference),
+        F.when(bare != "", F.concat(F.element_at(_table(NAMED), bare), F.substr(reference, F.length(bare) + 1))), reference)
+    return F.when(F.startswith(reference, F.lit("&#")), _numeric_character(reference)).otherwise(named)
 
 
 def unescape(value: Column) -> Column:
-    """Decode character references; ``&amp;`` last, so nothing is decoded twice."""
-    text = nz(value)
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    references = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMERIC_ENTITY), F.lit(0)))
-    decoded = F.aggregate(references, text, lambda t, r: F.replace(t, r, _numeric_character(r)))
-    text = F.when(F.contains(text, F.lit("&#")), decoded).otherwise(text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Decode the character references of HTML5 in one pass, so that nothing is decoded twice.
+
+    The text is cut at its references; each distinct one is decoded once.
+    """
+    def replaced(text: Column) -> Column:
+        def woven(parts: Column) -> Column:
+            names = F.array_distinct(parts["hits"])
+            known = F.map_from_arrays(names, F.transform(names, _character))
+            return let(known, lambda table: F.concat(
+                F.array_join(F.zip_with(F.slice(parts["gaps"], 1, F.size(parts["hits"])), parts["hits"], lambda g, h: F.concat(g, F.element_at(table, h))), ""),
+                F.element_at(parts["gaps"], -1)))
+
+        return let(F.struct(F.split(text, REFERENCE, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)).alias("hits")), woven)
+
+    return let(nz(value), lambda text: F.when(text.rlike(REFERENCE), replaced(text)).otherwise(text))
 
 
 def drop_tags(value: Column) -> Column:
@@ -308,9 +329,10 @@ def slug(value: Column) -> Column:
 
 
 def title_from_url(url: Column, cut_underscore: bool = True, drop_number: bool = False,
-                   drop_suffix: str = "", otherwise: str = "") -> Column:
+                   drop_suffix: str = "", otherwise: str = "", drop_query: bool = False) -> Column:
     """Readable title from the last path segment of a URL."""
-    last = F.element_at(F.split(F.rtrim(nz(url), F.lit("/")), "/"), -1)
+    whole = F.regexp_replace(nz(url), r"(?s)[?#].*$", "") if drop_query else nz(url)
+    last = F.element_at(F.split(F.rtrim(whole, F.lit("/")), "/"), -1)
     if drop_suffix:
         last = F.regexp_replace(last, rf"-\d+{re.escape(drop_suffix)}$", "")
         last = F.replace(last, F.lit(drop_suffix), F.lit(""))

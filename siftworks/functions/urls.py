@@ -145,27 +145,40 @@ def redirect_target(url: Column) -> Column:
     return tx.strip_space(unwrap_redirect(tx.strip_space(url)))
 
 
+def _without_dots(p: Column, merged: bool = False) -> Column:
+    """A rooted path without '.' and '..' steps, folded once; steps above the root stay at the root.
+
+    ``merged`` paths (folder and relative link) also lose empty steps between the first and the last.
+    """
+    def fold(parts: Column) -> Column:
+        last = F.element_at(parts, -1)
+        steps = F.filter(parts, lambda s, i: (s != "") | (i == 0) | (i == F.size(parts) - 1)) if merged else parts
+        kept = F.aggregate(steps, F.array().cast("array<string>"), lambda a, s: F.when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(1))))
+                           .when(s == ".", a).otherwise(F.array_append(a, s)))
+        closed = F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+        return tx.first_filled(F.array_join(closed, "/"), F.lit("/"))
+
+    return tx.let(F.split(p, "/"), fold)
+
+
 def resolve(base: Column, link: Column) -> Column:
     """Absolute URL of a link found on a page."""
     def body(u: Column) -> Column:
         origin = F.concat(scheme(base), F.lit("://"), authority(base))
         folder = F.regexp_replace(F.regexp_extract(path(base), r"(?s)^(.*/)?[^/]*$", 1), "^$", "/")
+        own = F.regexp_extract(u, r"(?s)^[^?#]*", 0)
+        rest = F.substr(u, F.length(own) + 1)
         return (
             F.when(u == "", base)
             .when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), u)
             .when(F.startswith(u, F.lit("//")), F.concat(scheme(base), F.lit(":"), u))
-            .when(F.startswith(u, F.lit("/")), F.concat(origin, u))
+            .when(F.startswith(u, F.lit("/")), F.concat(origin, _without_dots(own), rest))
             .when(F.startswith(u, F.lit("?")), F.concat(origin, path(base), u))
             .when(F.startswith(u, F.lit("#")), F.concat(F.regexp_replace(base, "(?s)#.*$", ""), u))
-            .otherwise(F.concat(origin, folder, u))
+            .otherwise(F.concat(origin, _without_dots(F.concat(folder, own), merged=True), rest))
         )
 
-    joined = tx.let(tx.nz(link), body)
-    # Remove "./" and "name/../" steps (a link has few of them).
-    for _ in range(4):
-        joined = F.regexp_replace(joined, r"/\./", "/")
-        joined = F.regexp_replace(joined, r"(?<![:/])/(?!\.\./)[^/?#]+/\.\./", "/")
-    return joined
+    return tx.let(tx.nz(link), body)
 
 
 def segments(p: Column) -> Column:
@@ -292,10 +305,11 @@ def path_prefixes(url: Column) -> Column:
     return tx.let(F.regexp_replace(path(url), "^$", "/"), body)
 
 
-def page_extent(html: Column, limit: int = 20) -> Column:
-    """Highest linked page number, at least 1, at most ``limit``."""
+def page_extent(html: Column, limit: int | None = None) -> Column:
+    """Highest linked page number, at least 1; a fetch plan may bound it by ``limit``."""
     numbers = F.transform(
         F.regexp_extract_all(tx.nz(html), F.lit(r"[?&]page=(\d+)"), F.lit(1)),
         lambda n: n.try_cast("int"),
     )
-    return F.least(F.coalesce(F.array_max(numbers), F.lit(1)), F.lit(limit))
+    found = F.coalesce(F.array_max(numbers), F.lit(1))
+    return found if limit is None else F.least(found, F.lit(limit))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftworks.functions import identity as ident, text as tx, urls
 from siftworks.operators.skew import salted_left_join
-from siftworks.session import cut
+from siftworks.session import written
 
 
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -87,30 +87,30 @@ def post_keys(df: DataFrame) -> Column:
         F.array(tx.field(df, "url"), pair("author"), pair("subreddit")), lambda k: k != ""))
 
 
-def dedup_greedy(df: DataFrame, keys: Column, order: str = "seq", max_rounds: int = 1000) -> DataFrame:
+def dedup_greedy(df: DataFrame, keys: Column, order: str = "seq") -> DataFrame:
     """Order-dependent dedup on several keys at once.
 
     A row is dropped when one of its keys was taken by an earlier kept row; only
     kept rows take keys.  Each round keeps the undecided rows that come first
     for every one of their keys and drops the rows that share a key with them;
-    the narrow (order, key) table shrinks until nothing is undecided.  The usual
-    data needs two or three rounds; the number is the longest conflict chain.
+    the narrow (order, key) table shrinks until nothing is undecided.  Rows whose
+    keys nobody else has are set aside before, so rounds work on contested rows
+    only; their number is the longest conflict chain, without a limit.
     """
-    pairs = cut(df.select(F.col(order), F.explode(keys).alias("_key")))
+    every = written(df.select(F.col(order), F.explode(keys).alias("_key")), "keys")
     keyless = df.filter(F.size(keys) == 0).select(order)
-    kept = keyless
-    for _ in range(max_rounds):
-        if pairs.isEmpty():
-            break
+    shared = every.groupBy("_key").agg(F.min(order).alias("_low"), F.max(order).alias("_high")).filter("_low < _high").select("_key")
+    contested = written(every.join(shared, "_key", "left_semi").select(order).distinct(), "contested")
+    pairs = written(every.join(contested, order, "left_semi"), "pairs")
+    kept = keyless.unionByName(every.join(contested, order, "left_anti").select(order).distinct())
+    while not pairs.isEmpty():
         firsts = pairs.groupBy("_key").agg(F.min(order).alias(order))
         # A row wins when it is first for as many keys as it has left.
         wins = firsts.groupBy(order).agg(F.count("*").alias("_wins"))
         sizes = pairs.groupBy(order).agg(F.count("*").alias("_keys"))
-        winners = cut(wins.join(sizes, order).filter(F.col("_wins") == F.col("_keys")).select(order))
+        winners = written(wins.join(sizes, order).filter(F.col("_wins") == F.col("_keys")).select(order), "winners")
         kept = kept.unionByName(winners)
         taken = pairs.join(winners, order, "left_semi").select("_key").distinct()
         hit = salted_left_join(pairs, taken, "_key", order, how="left_semi").select(order).distinct()
-        pairs = cut(pairs.join(hit, order, "left_anti"))
-    else:
-        raise RuntimeError("conflict chain longer than max_rounds")
+        pairs = written(pairs.join(hit, order, "left_anti"), "pairs")
     return df.join(kept, order, "left_semi")

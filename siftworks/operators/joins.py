@@ -24,19 +24,19 @@ def mark_members(df: DataFrame, members: DataFrame, key: str, name: str) -> Data
 
 
 def not_yet_selected(df: DataFrame, selected: DataFrame, key: Column) -> DataFrame:
-    """Rows whose key is not among the selected keys (a bounded selection)."""
+    """Rows whose key is not among the selected keys."""
     taken = selected.select(ident.dedup_key(selected).alias("_key"))
-    return df.withColumn("_key", key).join(F.broadcast(taken), "_key", "left_anti").drop("_key")
+    return df.withColumn("_key", key).join(taken, "_key", "left_anti").drop("_key")
 
 
 def attach_selection(pool: DataFrame, selected: DataFrame, min_match: int = fv.SELECTION_MIN_MATCH) -> DataFrame:
     """Selection and rejection reasons of pool rows by job_id.
 
-    ``selected`` is bounded by the selection target, so it is broadcast.
+    The selection is bounded by its target; whether it is broadcast is left to its measured size.
     """
     chosen = keep_last(selected.filter(tx.field(selected, "job_id") != ""), ["job_id"], "seq").select(
         "job_id", F.col("selection_reason").alias("_reason"))
-    joined = pool.join(F.broadcast(chosen), "job_id", "left")
+    joined = pool.join(chosen, "job_id", "left")
     hit = F.col("_reason").isNotNull()
     with_reason = joined.withColumn(
         "selection_reason", tx.first_filled(tx.field(pool, "selection_reason"), tx.nz(F.col("_reason"))))
@@ -54,7 +54,7 @@ def url_debug_rows(raw: DataFrame, classified: DataFrame, exported: DataFrame, p
     """One debug row per raw URL with its classification and fate.
 
     The last classified row of a URL counts; raw rows without one are classified
-    here.  ``exported`` is a bounded export, so its keys are broadcast.
+    here.
     """
     keyed = flag_duplicates(raw, ident.url_key(raw), order).withColumn("_key", ident.url_key(raw))
     have = [n for n in DEBUG_STATE if n in classified.columns]
@@ -67,7 +67,7 @@ def url_debug_rows(raw: DataFrame, classified: DataFrame, exported: DataFrame, p
             joined[n] if n in joined.columns else F.lit(None)).alias(f"_s_{n}") for n in have])
     state = state.drop(*[n for n in have if n in state.columns]).withColumnsRenamed({f"_s_{n}": n for n in have})
     mailed = exported.select(ident.url_key(exported).alias("_key")).distinct().withColumn("_mailed", F.lit(True))
-    state = state.join(F.broadcast(mailed), "_key", "left")
+    state = state.join(mailed, "_key", "left")
     duplicate, final = F.col("duplicate"), rs.final_status(state, F.coalesce("_mailed", tx.no()), F.col("duplicate"))
     owner = tx.first_filled(F.trim(tx.first_filled(tx.field(state, "collector"), tx.field(state, "source"))), F.lit("unknown"))
     return state.select(

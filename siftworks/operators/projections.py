@@ -223,11 +223,14 @@ def merge_details(listing: DataFrame, detail: DataFrame, key: str = "url") -> Da
     """Overlay detail fields on listing rows.
 
     Non-empty detail values win; location and company only fill blanks; the two
-    flags are always taken from the detail row when there is one.
+    flags are always taken from the detail row when there is one.  Of several detail
+    rows of a URL the smallest counts, so a listing row stays one row.
     """
     names = [c for c in detail.columns if c != key]
-    right = detail.select(key, F.struct(*names).alias("_d"))
-    joined = listing.join(right, key, "left")
+    right = detail.filter(tx.nz(F.col(key)) != "").groupBy(key).agg(F.min(F.struct(*names)).alias("_d")).withColumnRenamed(key, "_key")
+    # Rows without a key match nothing; spread by their content they do not meet in one task.
+    spread = F.concat(F.lit("\0"), F.xxhash64(*[c for c in listing.columns]).cast("string"))
+    joined = listing.join(right, F.when(tx.nz(F.col(key)) != "", F.col(key)).otherwise(spread) == F.col("_key"), "left").drop("_key")
     known = F.col("_d").isNotNull()
     out = {}
     for name in names:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from siftworks.functions import classify as cl, identity as ident, reasons as rs, text as tx
 from siftworks.operators.dedup import keep_first
 from siftworks.rules import WeightedRules, fixed_values as fv
-from siftworks.session import cut
+from siftworks.session import cut, written
 
 SCORES = ("match_score", "student_score", "candidate_score", "score")
 
@@ -55,6 +55,20 @@ def rank_rows(df: DataFrame, sort: list[Column], name: str = "rank") -> DataFram
     return df.withColumn(name, F.row_number().over(Window.orderBy(*sort)))
 
 
+def rank_all(df: DataFrame, sort: list[Column], columns: list[str], name: str = "rank") -> DataFrame:
+    """Number all rows of a table in sort order, without a global window.
+
+    A range-partitioned sort is written once with the place of each row in its partition;
+    the sizes of the partitions, one row each, add up to where a partition begins.
+    """
+    spot = F.monotonically_increasing_id()
+    placed = written(df.orderBy(*sort).select(*columns, F.shiftright(spot, 33).alias("_part"), spot.bitwiseAND((1 << 33) - 1).alias("_spot")), "ranked")
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_part").select(*columns, (F.col("_start") + F.col("_spot") + 1).cast("int").alias(name))
+
+
 def top_report(df: DataFrame, rules: WeightedRules, order: str = "seq") -> DataFrame:
     """Rows of the short report: minimum score, best first, limited."""
     return (
@@ -111,10 +125,10 @@ def write_back_selection(df: DataFrame, selected: DataFrame, min_match: int = fv
                          include_seen: bool = False) -> DataFrame:
     """Selection reason of the chosen keys on every row, a rejection reason on the rest.
 
-    ``selected`` is bounded by the selection target, so it is broadcast.
+    The selection is bounded by its target; whether it is broadcast is left to its measured size.
     """
     chosen = selected.select(ident.dedup_key(selected).alias("_key"), F.col("selection_reason").alias("_reason"))
-    keyed = df.withColumn("_key", ident.dedup_key(df)).join(F.broadcast(chosen), "_key", "left")
+    keyed = df.withColumn("_key", ident.dedup_key(df)).join(chosen, "_key", "left")
     hit = F.col("_reason").isNotNull()
     return keyed.withColumns({
         "selection_reason": F.coalesce("_reason", tx.field(df, "selection_reason")),
@@ -131,7 +145,7 @@ def rotation_top(df: DataFrame, limit: int = fv.SENT_KEY_LIMIT, order: str = "se
     score = F.coalesce(df["job_score"].cast("int"), F.lit(0))
     rank = rs.position(tx.field(df, "selection_reason"), fv.STATUS_ORDER)
     chosen = candidates.orderBy(rank, score.desc(), order).limit(limit).select(order, F.lit(True).alias("_chosen"))
-    return df.join(F.broadcast(chosen), order, "left").withColumn(
+    return df.join(chosen, order, "left").withColumn(
         "selection_rejection_reason",
         F.when(F.col("_chosen"), "selected")
         .when(tx.field(df, "selection_reason") == "", "not_rotation_eligible")
@@ -157,51 +171,33 @@ def quota_top(df: DataFrame, top: int = fv.EXPORT_TOP, quotas: Mapping[str, int]
 
     Groups claim their best keys in turn, then the rest is filled by score.  A
     group can lose at most the keys claimed before it, so its first
-    (earlier quotas + own quota) keys are all it ever needs.  Those bounded
-    candidate lists are found in one pass; the claims are then replayed on the
-    short list of keys.
+    (earlier quotas + own quota) keys are all it ever needs: one sort with a limit
+    per group over the narrow sort columns.  The claims are then replayed as one
+    anti join and limit per group, and the chosen rows joined back.
     """
     quotas = dict(fv.QUOTA_SIZES if quotas is None else quotas)
     groups = quota_groups(df) if groups is None else groups
     near = tx.field(df, "location_fit") != "excluded_far"
     stages = [(near & groups[name], max(0, size)) for name, size in quotas.items()] + [(F.lit(True), top)]
-    need, claimed = [], 0
-    for _, size in stages:
-        claimed += size
-        need.append(claimed if size else 0)
     member = F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, (test, _) in enumerate(stages)]))
-    sort = status_order(df, order)
-    keyed = df.withColumn("_key", ident.dedup_key(df)).withColumn("_stage", F.explode(member))
-    best = keep_first(keyed, ["_stage", "_key"], sort)
-    depth = F.element_at(F.array(*[F.lit(n) for n in need]), F.col("_stage") + 1)
-    within = Window.partitionBy("_stage").orderBy(*sort)
-    short = cut(
-        best.withColumn("_place", F.row_number().over(within))
-        .filter(F.col("_place") <= max(need)).filter(F.col("_place") <= depth)
-    )
-    # Replay the claims over the bounded list, one element per (stage, key).
-    entries = F.array_sort(F.collect_list(F.struct("_stage", "_place", "_key", F.col(order).alias("_seq"))))
-    state = "struct<keys:array<string>,rows:array<bigint>,used:array<int>>"
-    start = F.struct(
-        F.array().cast("array<string>").alias("keys"), F.array().cast("array<bigint>").alias("rows"),
-        F.array_repeat(F.lit(0), len(stages)).alias("used")).cast(state)
-    sizes = F.array(*[F.lit(size) for _, size in stages])
-
-    def claim(acc: Column, item: Column) -> Column:
-        stage = item["_stage"] + 1
-        free = F.element_at(acc["used"], stage) < F.element_at(sizes, stage)
-        takes = free & (F.size(acc["rows"]) < top) & ~F.array_contains(acc["keys"], item["_key"])
-        grown = F.struct(
-            F.array_append(acc["keys"], item["_key"]).alias("keys"),
-            F.array_append(acc["rows"], item["_seq"]).alias("rows"),
-            F.transform(acc["used"], lambda n, i: F.when(i == stage - 1, n + 1).otherwise(n)).alias("used"),
-        ).cast(state)
-        return F.when(takes, grown).otherwise(acc)
-
-    taken = short.agg(F.aggregate(entries, start, claim, lambda acc: acc["rows"]).alias("rows"))
-    rows = taken.select(F.explode("rows").alias(order))
-    result = keep_first(short.join(F.broadcast(rows), order, "left_semi"), [order], ["_stage"])
-    return result.drop("_stage", "_place", "_key").orderBy(*status_order(df, order)).limit(top)
+    scores = [name for name in SCORES if name in df.columns]
+    narrow = df.select(
+        F.col(order).alias("_order"), ident.dedup_key(df).alias("_key"), member.alias("_stages"),
+        rs.position(tx.field(df, "selection_reason"), fv.SELECTION_ORDER).alias("_reason"),
+        rs.position(tx.field(df, "history_status"), fv.STATUS_ORDER).alias("_status"), *[rs.score_of(df, n).alias(f"_{n}") for n in scores])
+    sort = [F.col("_reason"), F.col("_status"), *[F.col(f"_{n}").desc() for n in scores], F.col("_order")]
+    best = written(keep_first(narrow.withColumn("_stage", F.explode("_stages")).drop("_stages"), ["_stage", "_key"], sort), "quota")
+    claims, needed = None, 0
+    for stage, (_, size) in enumerate(stages):
+        needed += size
+        pool = best.filter(F.col("_stage") == stage).orderBy(*sort).limit(needed)
+        if claims is not None:
+            pool = pool.join(claims.select("_key"), "_key", "left_anti")
+        own = written(pool.orderBy(*sort).limit(size), "claims")
+        claims = own if claims is None else claims.unionByName(own)
+    chosen = claims.orderBy("_stage", *sort).limit(top).select(F.col("_order").alias(order))
+    result = df.join(chosen, order, "left_semi")
+    return result.orderBy(*status_order(result, order))
 
 
 # --- community and hit limits -----------------------------------------------------------
@@ -211,7 +207,7 @@ def community_top(df: DataFrame, top: int = fv.COMMUNITY_LIMIT, per_query: int |
     if per_query is not None:
         window = Window.partitionBy("query").orderBy(order)
         df = df.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= per_query).drop("_n")
-    return df.orderBy(F.col("score").desc(), order).limit(min(top, fv.COMMUNITY_LIMIT))
+    return df.orderBy(F.col("score").desc(), order).limit(top)
 
 
 def top_paths(counts: DataFrame, limit: int = 10) -> DataFrame:

@@ -61,21 +61,24 @@ def _struct_ddl(spark: SparkSession, ddl: str) -> str:
     return T._parse_datatype_string(ddl).simpleString()
 
 
-def history_rows(raw: DataFrame, text: str = "value") -> DataFrame:
+def history_rows(raw: DataFrame, text: str = "value", order: str | None = None) -> DataFrame:
     """History records from JSON texts that hold a list or a mapping of records.
 
-    Records without job_id are dropped; the last record of a job_id wins.
+    Records without job_id are dropped; the last record of a job_id wins: of several
+    texts the last one in ``order``, within a text the last record.
     """
+    at = F.lit(0) if order is None else F.col(order)
     value = F.col(text)
     listed = F.when(F.startswith(F.ltrim(value), F.lit("[")), F.from_json(value, f"array<{HISTORY_RECORD}>"))
     mapped = F.when(F.startswith(F.ltrim(value), F.lit("{")), F.map_values(F.from_json(value, f"map<string,{HISTORY_RECORD}>")))
-    exploded = raw.select(F.posexplode(F.coalesce(listed, mapped)).alias("pos", "rec")).filter(tx.nz(F.col("rec.job_id")) != "")
-    return keep_last(exploded.select("pos", "rec.*"), ["job_id"], "pos").drop("pos")
+    exploded = raw.select(at.alias("_at"), F.posexplode(F.coalesce(listed, mapped)).alias("_pos", "rec")).filter(tx.nz(F.col("rec.job_id")) != "")
+    placed = exploded.select(F.struct("_at", "_pos").alias("_place"), "rec.*")
+    return keep_last(placed, ["job_id"], "_place").drop("_place")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    read = lambda: spark.read.text(path, wholetext=True)
-    return history_rows(_read_or_empty(spark, read, "value string"))
+    read = lambda: spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_file"))
+    return history_rows(_read_or_empty(spark, read, "value string, _file string"), order="_file")
 
 
 def sent_key_rows(raw: DataFrame, now: Column, ttl_days: int, text: str = "value", zone: str = "Europe/Rome") -> DataFrame:
