@@ -140,11 +140,13 @@ def feed_item_extract(spark, folder):
     return pl.rss_items(df.select("doc_id", xml.alias("xml"))).select("doc_id", "item_no", "title", "company", "url")
 
 
-@query("split_title_company", "WITH f AS (SELECT doc_id, regexp_extract(text, '^([^\\n]*)', 1) AS t FROM documents) SELECT doc_id, " + SPLIT.format(t="t") + " FROM f")
+@query("split_title_company", "WITH f AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1)::INTEGER - 1 AS line FROM documents) "
+       "SELECT doc_id, line, " + SPLIT.format(t="t") + " FROM f")
 def split_title_company(spark, folder):
     df = table(spark, folder, "documents")
-    title, company = tx.split_title(F.regexp_extract("text", r"^([^\n]*)", 1))
-    return df.select("doc_id", title.alias("title"), company.alias("company"))
+    lines = df.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "t"))
+    title, company = tx.split_title(F.col("t"))
+    return lines.select("doc_id", "line", title.alias("title"), company.alias("company"))
 
 
 HIT_SQL = "hits AS (SELECT seq, title, query, description, CASE WHEN seq % 3 = 0 THEN url ELSE '' END AS href, CASE WHEN seq % 3 = 1 THEN url ELSE '' END AS link0, url, CASE WHEN seq % 5 = 0 THEN '' ELSE description END AS body FROM postings)"

@@ -274,7 +274,21 @@ def quota_tests(df):
             "cleaning": kind == "beta", "maintenance": kind == "technical"}
 
 
-@query("balanced_quota_topk")
+def quota_sql(top: int) -> str:
+    """Claims in turn, one anti join and limit per group; the rest by score."""
+    tests = {"remote": "remote", "data_office": "category IN ('data_entry', 'alpha')", "hospitality": "category IN ('gamma', 'alpha')", "cleaning": "category = 'beta'",
+             "maintenance": "category = 'technical'"}
+    order, ctes, claimed = f"{r.STATUS_RANK}, {r.SCORE_ORDER}", [], []
+    for stage, (test, size) in enumerate([(f"location_fit <> 'excluded_far' AND {tests[n]}", fv.QUOTA_SIZES[n]) for n in fv.QUOTA_SIZES] + [("true", top)]):
+        free = "".join(f" AND dkey NOT IN (SELECT dkey FROM {c})" for c in claimed)
+        ctes.append(f"claim{stage} AS MATERIALIZED (SELECT {stage} AS stage, * FROM ann WHERE {test}{free} ORDER BY {order} LIMIT {size})")
+        claimed.append(f"claim{stage}")
+    union = " UNION ALL ".join(f"SELECT * FROM {c}" for c in claimed)
+    return (ANN + ", " + ", ".join(ctes) + f", chosen AS (SELECT * FROM ({union}) ORDER BY stage, {order} LIMIT {top})"
+            f" SELECT seq, category, remote, match_score, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank FROM chosen")
+
+
+@query("balanced_quota_topk", quota_sql(120))
 def balanced_quota_topk(spark, folder):
     df = annotated(spark, folder)
     top = sel.quota_top(df, 120, groups=quota_tests(df))

@@ -160,7 +160,16 @@ def seen_url_across_queries(spark, folder):
     return dedup.accepted_per_query(df)
 
 
-@query("dedup_multi_key_greedy")
+# Row by row in input order, with the keys taken so far.
+GREEDY = s.with_threads(
+    "keyed AS (SELECT *, list_distinct(list_filter([url, lower(concat_ws('|', title, author)), lower(concat_ws('|', title, subreddit))], lambda k: k <> '')) AS keys, "
+    "row_number() OVER (ORDER BY seq) AS place FROM threads)",
+    "walk AS (SELECT 0 AS place, []::VARCHAR[] AS taken, -1::BIGINT AS kept UNION ALL "
+    "SELECT k.place, CASE WHEN list_has_any(w.taken, k.keys) THEN w.taken ELSE list_concat(w.taken, k.keys) END, CASE WHEN list_has_any(w.taken, k.keys) THEN -1 ELSE k.seq END "
+    "FROM walk w JOIN keyed k ON k.place = w.place + 1)").replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT seq, url, author, subreddit FROM threads WHERE seq IN (SELECT kept FROM walk)"
+
+
+@query("dedup_multi_key_greedy", GREEDY)
 def dedup_multi_key_greedy(spark, folder):
     from checks.views import threads
     df = threads(spark, folder)
