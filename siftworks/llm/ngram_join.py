@@ -33,7 +33,7 @@ MOST_FREQUENT = 400_000
 BLOCK = 1024
 # Sorted ids that may be sent to the tasks (8 bytes each); beyond, the texts are joined by shuffle.
 MOST_SENT_IDS = 1_000_000
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 _MEMO: dict[str, int] = {}
 
