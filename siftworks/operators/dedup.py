@@ -38,9 +38,12 @@ def dedup_two_stage(df: DataFrame, order: str = "seq") -> DataFrame:
     """First per URL, then first per (source, title, company).
 
     Missing URLs equal each other, so all rows without URL collapse to one in the
-    first stage; :func:`dedup_postings` is the variant without that effect.
+    first stage; :func:`dedup_postings` is the variant without that effect.  Both
+    stages rank key columns only; the rows are taken by the unique order column.
     """
-    return keep_first(keep_first(df, ["url"], [order]), ["source", "title", "company"], [order])
+    narrow = df.select(order, "url", "source", "title", "company")
+    first = keep_first(keep_first(narrow, ["url"], [order]), ["source", "title", "company"], [order])
+    return df.join(first.select(order), order, "left_semi")
 
 
 def dedup_source_urls(df: DataFrame, order: str = "seq") -> DataFrame:

@@ -27,6 +27,18 @@ def status_order(df: DataFrame, order: str = "seq") -> list[Column]:
     ]
 
 
+def _sort_columns(df: DataFrame) -> list[Column]:
+    """What :func:`status_order` sorts by, as columns of a narrow table."""
+    return [rs.position(tx.field(df, "selection_reason"), fv.SELECTION_ORDER).alias("_reason"),
+            rs.position(tx.field(df, "history_status"), fv.STATUS_ORDER).alias("_status"),
+            *[rs.score_of(df, n).alias(f"_{n}") for n in SCORES if n in df.columns]]
+
+
+def _sorted(df: DataFrame) -> list[Column]:
+    """The order of :func:`status_order` over the columns of :func:`_sort_columns` and ``_order``."""
+    return [F.col("_reason"), F.col("_status"), *[F.col(f"_{n}").desc() for n in SCORES if n in df.columns], F.col("_order")]
+
+
 def report_order(df: DataFrame, order: str = "seq") -> list[Column]:
     return [rs.position(tx.field(df, "selection_reason"), fv.SELECTION_ORDER), *by_scores(df), F.col(order)]
 
@@ -113,12 +125,13 @@ def select_by_buckets(df: DataFrame, target: int = fv.SELECTION_TARGET, min_matc
     ordered.append(("SEEN", seen))
     ordered.append(("FALLBACK_ROTATION", buckets["FALLBACK_ROTATION"] if fallback else tx.no()))
     number = F.coalesce(*[F.when(test, F.lit(i)) for i, (_, test) in enumerate(ordered)])
-    marked = df.withColumn("_bucket", number).filter(F.col("_bucket").isNotNull() & rs.selectable(df, min_match))
-    marked = marked.withColumn("_key", ident.dedup_key(marked))
-    sort = [F.col("_bucket"), *status_order(marked, order)]
-    chosen = keep_first(marked, ["_key"], sort).orderBy(*sort).limit(target)
+    # Narrow first: only the key and the sort columns are ranked; the chosen rows, at most ``target``, are joined back.
+    narrow = df.withColumn("_bucket", number).filter(F.col("_bucket").isNotNull() & rs.selectable(df, min_match)).select(
+        F.col(order).alias("_order"), "_bucket", ident.dedup_key(df).alias("_key"), *_sort_columns(df))
+    sort = [F.col("_bucket"), *_sorted(df)]
+    chosen = keep_first(narrow, ["_key"], sort).orderBy(*sort).limit(target).select(F.col("_order").alias(order), "_bucket")
     names = F.array(*[F.lit(name) for name, _ in ordered])
-    return chosen.withColumn("selection_reason", F.element_at(names, F.col("_bucket") + 1)).drop("_bucket", "_key")
+    return df.join(chosen, order).withColumn("selection_reason", F.element_at(names, F.col("_bucket") + 1)).drop("_bucket")
 
 
 def write_back_selection(df: DataFrame, selected: DataFrame, min_match: int = fv.SELECTION_MIN_MATCH,
@@ -180,12 +193,8 @@ def quota_top(df: DataFrame, top: int = fv.EXPORT_TOP, quotas: Mapping[str, int]
     near = tx.field(df, "location_fit") != "excluded_far"
     stages = [(near & groups[name], max(0, size)) for name, size in quotas.items()] + [(F.lit(True), top)]
     member = F.array_compact(F.array(*[F.when(test, F.lit(i)) for i, (test, _) in enumerate(stages)]))
-    scores = [name for name in SCORES if name in df.columns]
-    narrow = df.select(
-        F.col(order).alias("_order"), ident.dedup_key(df).alias("_key"), member.alias("_stages"),
-        rs.position(tx.field(df, "selection_reason"), fv.SELECTION_ORDER).alias("_reason"),
-        rs.position(tx.field(df, "history_status"), fv.STATUS_ORDER).alias("_status"), *[rs.score_of(df, n).alias(f"_{n}") for n in scores])
-    sort = [F.col("_reason"), F.col("_status"), *[F.col(f"_{n}").desc() for n in scores], F.col("_order")]
+    narrow = df.select(F.col(order).alias("_order"), ident.dedup_key(df).alias("_key"), member.alias("_stages"), *_sort_columns(df))
+    sort = _sorted(df)
     best = written(keep_first(narrow.withColumn("_stage", F.explode("_stages")).drop("_stages"), ["_stage", "_key"], sort), "quota")
     claims, needed = None, 0
     for stage, (_, size) in enumerate(stages):

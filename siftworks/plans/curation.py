@@ -10,7 +10,7 @@ from siftworks.functions import classify as cl, identity as ident, text as tx
 from siftworks.operators import aggregates as ag, dedup, filters as fl, history as hs, joins as jn, selection as sel
 from siftworks.operators.projections import LOCAL, REMOTE, RuleBook, add_labels, normalize_posting, rescore
 from siftworks.rules import fixed_values as fv
-from siftworks.session import cut
+from siftworks.session import written
 
 
 @dataclass(frozen=True)
@@ -66,10 +66,10 @@ def run(raw: DataFrame, history: DataFrame | None, book: RuleBook, options: RunO
         known = hs.annotate_history(scored, empty, now, options.rotation_days, order)
     else:
         known = hs.annotate_history(scored, history, now, options.rotation_days, order)
-    candidates = cut(known)
+    candidates = written(known, "candidates")
     jobs = candidates if history is not None else candidates.filter(F.col("match_score") >= options.min_match)
-    selected = cut(sel.select_by_buckets(
-        jobs, options.target, options.min_match, options.include_seen, options.repeat, options.fallback, order))
+    selected = written(sel.select_by_buckets(
+        jobs, options.target, options.min_match, options.include_seen, options.repeat, options.fallback, order), "selected")
     marked = sel.write_back_selection(jobs, selected, options.min_match, options.include_seen)
     if options.profile == REMOTE:
         exported = marked.orderBy(*sel.status_order(marked, order)).limit(options.top)

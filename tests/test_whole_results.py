@@ -70,3 +70,15 @@ def test_long_conflict_chain(spark):
             kept.append(seq)
             taken |= set(keys)
     assert sorted(r["seq"] for r in dedup.dedup_greedy(df, F.col("keys")).collect()) == kept
+
+
+def test_texts_stay_out_of_ranking_shuffles(spark):
+    names = "seq long, url string, title string, source string, company string, location string, description string, match_score int, history_status string, location_fit string, remote boolean"
+    df = spark.createDataFrame([(1, "u", "t", "s", "c", "l", "long text", 80, "NEW", "remote", True)], names)
+    for ranked in (selection.select_by_buckets(df), dedup.dedup_two_stage(df)):
+        plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+        nodes = [line.strip(" :+-") for line in plan.splitlines()]
+        ranking = [i for i, node in enumerate(nodes) if node.startswith("Window ")]
+        assert ranking and all("description" not in nodes[i] for i in ranking)
+        # What the lowest ranking reads is a projection without the text.
+        assert next(node for node in nodes[ranking[-1] + 1:] if node.startswith("Project")).count("description") == 0
