@@ -89,10 +89,10 @@ SELECT query, site, CASE site WHEN 'indeed' THEN concat('https://it.indeed.com/j
  WHEN 'subito' THEN concat('https://www.subito.it/annunci-campania/vendita/offerte-lavoro/?q=', enc) WHEN 'adecco' THEN concat('https://www.adecco.it/lavoro/?k=', enc) WHEN 'google' THEN concat('https://www.google.com/search?q=', enc)
  WHEN 'github' THEN concat('https://api.github.com/search/issues?q=', enc) WHEN 'randstad' THEN concat('https://www.randstad.it/offerte-lavoro/q-', slug, '/')
  ELSE concat('https://www.gigroup.it/offerte-lavoro/?job=', enc, '&placeOfWork=&radius=25') END AS search_url, "offset"
-FROM e, (SELECT unnest(['indeed','talent','jooble','subito','adecco','google','github','randstad','gigroup']) AS site) x, (SELECT CAST(unnest(range(0, 101, 50)) AS INTEGER) AS "offset") o""")
+FROM e, (SELECT unnest(['indeed','talent','jooble','subito','adecco','google','github','randstad','gigroup']) AS site) x, (SELECT CAST(unnest(range(0, 981, 20)) AS INTEGER) AS "offset") o""")
 def crawl_plan(spark, folder):
     queries = table(spark, folder, "part").select(F.col("p_type").alias("query")).distinct()
-    return catalog.plan_pages(catalog.plan_searches(queries), 0, 100, 50).select("query", "site", "search_url", "offset")
+    return catalog.plan_pages(catalog.plan_searches(queries), 0, 980, 20).select("query", "site", "search_url", "offset")
 
 
 # --- payloads and feeds -----------------------------------------------------------------------
@@ -104,32 +104,66 @@ def lines(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "lang", "source", F.split("text", "\n").alias("lines"))
 
 
-@query("json_payload_flatten", "WITH " + LINES_SQL + """
-SELECT doc_id, 'remotejobs_org' AS api, item_no, line AS title, source AS company, lang AS location, concat('https://jobs.example/', doc_id, '/', item_no) AS url FROM lines
-UNION ALL SELECT doc_id, 'himalayas', item_no, line, source, concat(lang, ', eu'), CASE WHEN item_no % 2 = 0 THEN concat('https://apply.example/', item_no) ELSE concat('https://see.example/', item_no) END FROM lines""")
+# Every payload rule over the lines of a text: item struct, path of the list, output columns (title, company, location, url), SQL of location and URL.
+SEE = "concat('https://see.example/', doc_id, '/', item_no)"
+APIS = {
+    "remotejobs_org": ("data", ("title", "company", "location", "url"), "lang", SEE),
+    "himalayas": ("jobs", ("title", "company", "location", "url"), "concat(lang, ', eu')", f"CASE WHEN item_no % 2 = 0 THEN concat('https://apply.example/', item_no) ELSE {SEE} END"),
+    "arbeitnow": ("data", ("title", "company", "location", "url"), "lang", SEE),
+    "jobicy": ("jobs", ("title", "company", "location", "url"), "lang", SEE),
+    "remotefirstjobs": ("jobs", ("title", "company", "location", "url"), "concat(lang, ', eu')", SEE),
+    "remotive": ("jobs", ("title", "company_name", "candidate_required_location", "url"), "lang", SEE),
+    "reddit_listing": ("data.children.data", ("title", "author", "selftext", "url"), "lang", "concat('https://www.reddit.com/r/', doc_id, '/', item_no)"),
+    "reddit_search": ("data.children.data", ("title", "author", "body", "url"), "lang", f"CASE WHEN item_no % 2 = 0 THEN concat('/r/', doc_id, '/', item_no) ELSE {SEE} END"),
+    "github_issues": ("items", ("title", "body", "state", "html_url"), "lang", SEE),
+}
+
+
+def payload_item(api, x, i):
+    """One item of an API's payload, in that API's own field names."""
+    number, company, place = i.cast("string"), F.col("source"), F.col("lang")
+    at = lambda prefix: F.concat(F.lit(prefix), F.col("doc_id").cast("string"), F.lit("/"), number)
+    see, both = at("https://see.example/"), F.array(place, F.lit("eu"))
+    fields = {
+        "remotejobs_org": {"title": x, "company": F.struct(company.alias("name")), "location": place, "url": F.lit(""), "apply_url": see},
+        "himalayas": {"title": x, "companyName": company, "locationRestrictions": both, "url": see, "pubDate": F.lit(1_700_000_000),
+                      "applicationLink": F.when(i % 2 == 0, F.concat(F.lit("https://apply.example/"), number)).otherwise("")},
+        "arbeitnow": {"title": x, "company_name": company, "location": place, "remote": F.lit(True), "url": see, "tags": both},
+        "jobicy": {"jobTitle": x, "companyName": company, "jobGeo": place, "url": see, "jobType": both},
+        "remotefirstjobs": {"title": x, "company_name": company, "locations": both, "url": see, "salary_min": F.lit(1)},
+        "remotive": {"title": x, "company_name": company, "candidate_required_location": place, "url": see},
+        "reddit_listing": {"title": x, "author": company, "selftext": place, "permalink": at("/r/"), "score": F.lit(1)},
+        "reddit_search": {"title": x, "author": company, "selftext": place, "permalink": at("/r/"), "url": F.when(i % 2 == 0, "").otherwise(see)},
+        "github_issues": {"title": x, "body": company, "state": place, "html_url": see, "labels": F.array(F.struct(place.alias("name")))},
+    }[api]
+    item = F.struct(*[v.alias(n) for n, v in fields.items()])
+    return F.struct(item.alias("data")) if api.startswith("reddit") else item
+
+
+def item_of(api):
+    return lambda x, i: payload_item(api, x, i)
+
+
+@query("json_payload_flatten", "WITH " + LINES_SQL + " " + " UNION ALL ".join(
+    f"SELECT doc_id, '{api}' AS api, item_no, line AS title, source AS company, {place} AS location, {url} AS url FROM lines" for api, (_, _, place, url) in APIS.items()))
 def json_payload_flatten(spark, folder):
-    df = lines(spark, folder)
-    link = lambda prefix, *parts: F.concat(F.lit(prefix), *parts)
-    number = lambda i: i.cast("string")
-    nested = F.to_json(F.struct(F.transform("lines", lambda x, i: F.struct(
-        x.alias("title"), F.struct(F.col("source").alias("name")).alias("company"), F.col("lang").alias("location"), F.lit("").alias("url"),
-        link("https://jobs.example/", F.col("doc_id").cast("string"), F.lit("/"), number(i)).alias("apply_url"))).alias("data")))
-    flat = F.to_json(F.struct(F.transform("lines", lambda x, i: F.struct(
-        x.alias("title"), F.col("source").alias("companyName"), F.array(F.col("lang"), F.lit("eu")).alias("locationRestrictions"),
-        F.when(i % 2 == 0, link("https://apply.example/", number(i))).otherwise("").alias("applicationLink"),
-        link("https://see.example/", number(i)).alias("url"), F.lit(1_700_000_000).alias("pubDate"))).alias("jobs")))
-    keep = ("doc_id", "api", "item_no", "title", "company", "location", "url")
-    a = pl.flatten_payload(df.select("doc_id", F.lit("remotejobs_org").alias("api"), nested.alias("payload")), pl.PAYLOAD_RULES["remotejobs_org"])
-    b = pl.flatten_payload(df.select("doc_id", F.lit("himalayas").alias("api"), flat.alias("payload")), pl.PAYLOAD_RULES["himalayas"])
-    return a.select(*keep).unionByName(b.select(*keep))
+    df, out = lines(spark, folder), None
+    for api, (path, names, _, _) in APIS.items():
+        items = F.transform("lines", item_of(api))
+        body = F.struct(F.struct(items.alias("children")).alias("data")) if api.startswith("reddit") else F.struct(items.alias(path))
+        rows = pl.flatten_payload(df.select("doc_id", F.lit(api).alias("api"), F.to_json(body).alias("payload")), pl.PAYLOAD_RULES[api])
+        part = rows.select("doc_id", "api", "item_no", *[F.col(n).alias(c) for n, c in zip(names, ("title", "company", "location", "url"))])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 SPLIT = """CASE WHEN instr({t}, ' at ') > 0 THEN trim(substr({t}, 1, instr({t}, ' at ') - 1)) WHEN instr({t}, ' - ') > 0 THEN trim(substr({t}, 1, instr({t}, ' - ') - 1)) ELSE trim({t}) END AS title,
  CASE WHEN instr({t}, ' at ') > 0 THEN trim(substr({t}, instr({t}, ' at ') + 4)) WHEN instr({t}, ' - ') > 0 THEN trim(substr({t}, instr({t}, ' - ') + 3)) ELSE '' END AS company"""
 
 
-@query("feed_item_extract", "WITH " + LINES_SQL + ", f AS (SELECT doc_id, item_no, trim(line) AS t FROM lines) SELECT doc_id, item_no, " + SPLIT.format(t="t") +
-       ", concat('https://feed.example/?a=', doc_id, '&b=', item_no) AS url FROM f")
+@query("feed_item_extract", "WITH " + LINES_SQL + ", f AS (SELECT doc_id, item_no, source, trim(line) AS t FROM lines) SELECT 'rss' AS kind, doc_id, item_no, " + SPLIT.format(t="t") +
+       ", concat('https://feed.example/?a=', doc_id, '&b=', item_no) AS url FROM f UNION ALL SELECT 'atom', doc_id, item_no, t, source,"
+       " CASE WHEN item_no % 2 = 0 THEN concat('https://feed.example/?a=', doc_id, '&b=', item_no) ELSE concat('urn:', doc_id, ':', item_no) END FROM f")
 def feed_item_extract(spark, folder):
     safe = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     df = lines(spark, folder)
@@ -137,7 +171,15 @@ def feed_item_extract(spark, folder):
         F.lit("<item><title>"), safe(x), F.lit("</title><link>https://feed.example/?a="), F.col("doc_id").cast("string"),
         F.lit("&amp;b="), i.cast("string"), F.lit("</link><pubDate>Mon, 01 Jun 2026 08:00:00 +0000</pubDate><description>d</description></item>")))
     xml = F.concat(F.lit("<rss version='2.0'><channel><title>c</title>"), F.array_join(items, ""), F.lit("</channel></rss>"))
-    return pl.rss_items(df.select("doc_id", xml.alias("xml"))).select("doc_id", "item_no", "title", "company", "url")
+    link = lambda i: F.concat(F.lit("<link rel='self' href='x'/>"), F.when(i % 2 == 0, F.concat(
+        F.lit("<link rel='alternate' href='https://feed.example/?a="), F.col("doc_id").cast("string"), F.lit("&amp;b="), i.cast("string"), F.lit("'/>"))).otherwise(""))
+    entries = F.transform("lines", lambda x, i: F.concat(
+        F.lit("<entry><title>"), safe(x), F.lit("</title>"), link(i), F.lit("<id>urn:"), F.col("doc_id").cast("string"), F.lit(":"), i.cast("string"),
+        F.lit("</id><updated>2026-06-01T08:00:00Z</updated><author><name>"), F.col("source"), F.lit("</name></author></entry>")))
+    atom = F.concat(F.lit("<feed><title>c</title>"), F.array_join(entries, ""), F.lit("</feed>"))
+    rss = pl.rss_items(df.select("doc_id", xml.alias("xml"))).select(F.lit("rss").alias("kind"), "doc_id", "item_no", "title", "company", "url")
+    other = pl.atom_entries(df.select("doc_id", atom.alias("xml"))).select(F.lit("atom").alias("kind"), "doc_id", "item_no", "title", F.col("author").alias("company"), "url")
+    return rss.unionByName(other)
 
 
 @query("split_title_company", "WITH f AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1)::INTEGER - 1 AS line FROM documents) "
