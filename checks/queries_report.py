@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import sql as s, sql_run as r
 from checks.corpus import BOOK, NOW
-from checks.queries_rules import MIN_SCORE, TEXT, W, weighted_ctes
-from checks.queries_state import RANKED, small_history, stats_tables
+from checks.queries_rules import MAIL_REASON, MIN_SCORE, TEXT, W, weighted_ctes
+from checks.queries_state import RANKED, SMALL, small_history, stats_tables
 from checks.registry import query
 from checks.views import annotated, history, normalized, now, postings, table
 from siftworks.functions import classify as cl, reasons as rs, text as tx
@@ -194,7 +194,22 @@ def aggregate_select_export(spark, folder):
     return tables.exported.select("seq", "url", "category", "match_score", "history_status", "selection_reason", "selection_rejection_reason")
 
 
-@query("unsent_selection")
+# Scored rows against the small history, then the rotation and the mail labels. The hash covers the scored fields.
+_HASHED = ("company", "description", "employment_type", "location", "negative_reason", "positive_reason", "salary_text", "score_reason", "title")
+FULL_HASH = "sha256(concat('{', array_to_string([" + ", ".join(f"concat('\"{n}\": ', CAST(to_json({r.strip(n)}) AS VARCHAR))" for n in _HASHED) + "], ', '), '}'))"
+UNSENT = SCORED + SMALL + [
+    f"keyed AS (SELECT c.*, p.hkey, {FULL_HASH} AS full_hash FROM scored c JOIN (SELECT seq, hkey FROM plain) p USING (seq))",
+    f"""compared AS (SELECT k.*, CASE WHEN m.hkey IS NULL THEN 'NEW' WHEN m.content_hash NOT IN (full_hash, '') THEN 'UPDATED'
+ WHEN DATE '{NOW[:10]}' - m.sent_at >= 7 THEN 'RESURFACED' ELSE 'SEEN' END AS history_status
+ FROM (SELECT *, row_number() OVER (PARTITION BY hkey ORDER BY seq) AS krn FROM keyed) k LEFT JOIN small m USING (hkey) WHERE krn = 1)""",
+    """placed AS (SELECT seq, row_number() OVER (ORDER BY CASE history_status WHEN 'NEW' THEN 0 WHEN 'UPDATED' THEN 1 ELSE 2 END, job_score DESC, seq) AS place
+ FROM compared WHERE history_status <> 'SEEN')""",
+]
+
+
+@query("unsent_selection", s.with_postings(*UNSENT) + f"""SELECT seq, job_score, history_status, CASE WHEN history_status = 'SEEN' THEN '' ELSE history_status END AS selection_reason,
+ CASE WHEN history_status = 'SEEN' THEN 'not_rotation_eligible' WHEN place <= {fv.SENT_KEY_LIMIT} THEN 'selected' ELSE 'not_selected_due_to_limit' END AS selection_rejection_reason,
+ {MAIL_REASON} AS remote_email_rejection_reason FROM compared LEFT JOIN placed USING (seq)""")
 def unsent_selection(spark, folder):
     scored = plan.scored_rows(postings(spark, folder), BOOK)
     sent = small_history(spark, folder, postings(spark, folder))
