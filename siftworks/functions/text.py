@@ -219,16 +219,16 @@ def first_token_label(text: Column, labelled, otherwise: str) -> Column:
 # --- markup -----------------------------------------------------------------
 
 # Named character references: the standard library's table of HTML5. Names that may stand without a semicolon are matched longest first.
-NAMED = {f"&{name}": character for name, character in html5.items()}
+NAMED = json.dumps({f"&{name}": character for name, character in html5.items()})
 BARE = "|".join(sorted((re.escape(name) for name in html5 if not name.endswith(";")), key=len, reverse=True))
 REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{BARE}))"
 # Code points 128 to 159 are read as windows-1252, where it has a character.
-REMAPPED = {str(c): bytes([c]).decode("cp1252") for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+REMAPPED = json.dumps({str(c): bytes([c]).decode("cp1252") for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)})
 
 
-def _table(values: dict[str, str]) -> Column:
-    """A constant map, handed over as one literal."""
-    return F.from_json(F.lit(json.dumps(values)), F.lit("map<string,string>"))
+def _table(values: str) -> Column:
+    """A constant map, handed over as one JSON literal."""
+    return F.from_json(F.lit(values), F.lit("map<string,string>"))
 
 
 def _numeric_character(reference: Column) -> Column:
@@ -308,8 +308,10 @@ def extract_text(html: Column, pattern: str) -> Column:
 def label_value(text: Column, labels: Sequence[str]) -> Column:
     """Value after 'Label:' up to the next label, a double space or the end; cut at '. '."""
     names = "|".join(re.escape(label) for label in sorted(labels, key=len, reverse=True))
-    pattern = rf"(?i)(?:{names})\s*:?\s+(.+?)(?=\s+(?:{names})\s*:|\s{{2,}}|$)"
-    return squeeze(F.substring_index(F.regexp_extract(nz(text), pattern, 1), ". ", 1))
+    # Cut behind the first label, then before the next one.
+    behind = nz(F.get(F.split(nz(text), rf"(?i)(?:{names})\s*:?\s+", 2), F.lit(1)))
+    value = F.get(F.split(behind, rf"(?i)\s+(?:{names})\s*:|\s{{2,}}|\n", 2), F.lit(0))
+    return squeeze(F.substring_index(value, ". ", 1))
 
 
 def skill_hits(text: Column, terms: Sequence[str]) -> Column:

@@ -548,3 +548,19 @@ PREFERRED_MARK = "preferred_domain"
 BUTTON_LABELS = ("mostra di più", "mostra di piu", "apply", "candidati")
 SOURCE_GROUPS = ("aggregators", "classifieds", "agencies", "remote_data_ai", "public_employment")
 STRATEGY_KEYWORDS = ("lavoro", "jobs", "careers", "offerte", "posizione", "vacancy", "remote", "remoto")
+
+
+# --- marks of the sites' pages (fixed values) -----------------------------------------
+
+CARD_ATTRIBUTE = "data-new-id"
+CARD_CLASSES = {"company": ("span", "JobCard_company"), "location": ("span", "JobCard_location"), "snippet": ("p", "JobCard_snippet")}
+GIGROUP_BLOCK = ("article", "ggp-job-item")
+GIGROUP_KEYWORDS = "ggp-job-keywords"
+GIGROUP_PLACE_LABEL = "Luogo di lavoro:"
+RESULT_CLASS = "singleResult"
+RESULT_DESCRIPTION = "descriptionContainer"
+RESULT_LABELS = {"location": "Luogo di lavoro", "sector": "Settore", "role": "Ruolo", "contract": "Tipo di contratto"}
+RESULT_PLACES = ("Nazione", "Regione", "Luogo")
+META_DESCRIPTIONS = ("description", "og:description")
+SMART_WORKING_TERMS = ("smart working", "full remote", "remoto", "lavoro da casa", "ibrido", "ibrida")
+FULL_TIME_TERMS = ("full time", "tempo pieno")
