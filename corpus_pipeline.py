@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.llm.common import fresh, table
+from siftworks.llm.common import fresh, kept_table, table
 from siftworks.llm.decontaminate import decontaminate
 from siftworks.llm.ngram_join import ngram_jaccard_join
 from siftworks.llm.quality_rules import quality_rules
@@ -28,14 +28,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: the one with the smallest doc_id."""
     found = ngram_jaccard_join(docs, NEAR_WORDS, NEAR_PERCENT)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # Rows that repeat a doc_id are one document; there are few or none, so only they are dealt again.
-    twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    single = left.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    again = left.join(twice, "doc_id", "left_semi").select(*docs.columns)
-    return single.unionByName(again.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(fresh(docs, "row")[0]))
-                              .select(f"{fresh(docs, 'row')[0]}.*"))
+    left = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # Rows that repeat a doc_id are one document. There are few or none, so only they are grouped.
+    twice = kept_table(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return left
+    row = fresh(docs, "row")[0]
+    once = left.join(twice, "doc_id", "left_anti").select(*docs.columns)
+    again = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(row))
+    return once.unionByName(again.select(f"{row}.*"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,3 +41,14 @@ def test_run_and_odd_rows(spark, tmp_path):
 
 def test_queries_are_complete():
     assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+
+
+def test_sql_of_the_queries(spark, monkeypatch):
+    from checks import compare, registry
+    from siftworks.llm.queries import SQL
+    connection = compare.connect(SMALL)
+    for key, sql in SQL.items():
+        monkeypatch.setitem(registry.QUERIES, key, QUERIES[key])
+        monkeypatch.setitem(registry.SQL, key, sql)
+        ok, note = compare.check(spark, connection, SMALL, key)
+        assert ok, note
