@@ -15,6 +15,7 @@ columns are not read, and are kept as they are where rows are asked for.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,10 +29,11 @@ from siftworks.llm.common import fresh
 
 BLANK = "▁"
 MULTIPLIER = 0x9E3779B97F4A7C15
-MEMO_WORDS = 300_000
-MEMO_PAIRS = 1_500_000
+# Words remembered in each of two generations, slots of the table of pairs, slots of the filter before the sorted keys (powers of two).
+MEMO_WORDS = 350_000
+PAIR_BITS, FILTER_BITS = 22, 22
 FEW_WORDS, LONG_WORD = 8, 64
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 4_000_000
 _SEGMENT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _WRAP = (1 << 64) - 1
 
@@ -43,6 +45,11 @@ def _hash(text: str) -> int:
     return value
 
 
+def _whole(part: str) -> str:
+    """The part with its first blank; the mark of a part without one goes."""
+    return part[1:] if part[:1] == "\0" else BLANK + part
+
+
 @dataclass
 class Vocabulary:
     """Pieces with ids, scores and byte ids; the tables of the lattice are made once per worker."""
@@ -55,7 +62,7 @@ class Vocabulary:
     prefix: bool
     ranked: bool
     memo: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
-    pairs: dict[int, bool] = field(default_factory=dict, repr=False)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.normal[i]}
@@ -65,6 +72,10 @@ class Vocabulary:
         self.keys, self.key_ids = keys[order], np.array(list(self.ids.values()), np.int64)[order]
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces have the same hash")
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self.keys >> np.uint64(64 - FILTER_BITS)] = True
+        # Pairs that were tried: a slot holds the pair that was last put there, and whether the second may follow the first.
+        self.pair_keys, self.pair_open = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
         self.score = np.array(self.scores, np.float64)
         self.unknown_score = (min((self.scores[i] for i in self.ids.values()), default=0.0)) - 10.0
         self.lengths = sorted({len(p) for p in self.ids})
@@ -99,23 +110,30 @@ class Vocabulary:
 
     def follows(self, before: int, piece: int) -> bool:
         """Whether the piece may stand behind another (before: -1 at a word's start)."""
-        key = (before + 1) * 0x400000 + piece
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > MEMO_PAIRS:
-                self.pairs.clear()
-            right = self.text_of(piece)
-            if before < 0:
-                found = self.merge(right) == [right]
-            else:
-                left = self.text_of(before)
-                found = self.merge(left + right) == [left, right]
-            self.pairs[key] = found
-        return found
+        right = self.text_of(piece)
+        if before < 0:
+            return self.merge(right) == [right]
+        left = self.text_of(before)
+        return self.merge(left + right) == [left, right]
 
     def _follow(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        keys, back = np.unique((before + 1) * 0x400000 + piece, return_inverse=True)
-        return np.array([self.follows((k >> 22) - 1, k & 0x3FFFFF) for k in keys.tolist()], bool)[back]
+        keys = (before + 1) * 0x400000 + piece
+        slots = ((keys.astype(np.uint64) * np.uint64(MULTIPLIER)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        found = self.pair_open[slots]
+        new = np.flatnonzero(self.pair_keys[slots] != keys)
+        if len(new):
+            tried, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            fresh_ones = np.array([self.follows((k >> 22) - 1, k & 0x3FFFFF) for k in tried.tolist()], bool)
+            found[new] = fresh_ones[back]
+            self.pair_keys[slots[new][first]], self.pair_open[slots[new][first]] = tried, fresh_ones
+        return found
+
+    def _follows_one(self, before: int, piece: int) -> bool:
+        key = (before + 1) * 0x400000 + piece
+        slot = ((key * MULTIPLIER) & _WRAP) >> (64 - PAIR_BITS)
+        if self.pair_keys[slot] != key:
+            self.pair_open[slot], self.pair_keys[slot] = self.follows(before, piece), key
+        return bool(self.pair_open[slot])
 
     def _one(self, word: str) -> list[int]:
         """The lattice of a single word."""
@@ -132,7 +150,7 @@ class Vocabulary:
                     piece, gain = len(self.pieces) + ord(word[i - 1]), self.unknown_score
                 else:
                     gain = self.scores[piece]
-                if total[i - p] + gain > total[i] and (not self.ranked or self.follows(last[i - p], piece)):
+                if total[i - p] + gain > total[i] and (not self.ranked or self._follows_one(last[i - p], piece)):
                     total[i], last[i], back[i] = total[i - p] + gain, piece, p
         out, i = [], n
         while i:
@@ -143,41 +161,57 @@ class Vocabulary:
     def _same_length(self, words: list[str]) -> list[list[int]]:
         """The lattices of words of one length, advanced together."""
         n = len(words[0])
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).astype(np.uint64)
-        prefix = np.zeros((len(words), n + 1), np.uint64)
-        power = np.array([pow(MULTIPLIER, i, 1 << 64) for i in range(n + 1)], np.uint64)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).T.astype(np.uint64, order="C")
+        # One row per position, so that what a step reads and writes lies together.
+        prefix = np.zeros((n + 1, len(words)), np.uint64)
+        power = [np.uint64(pow(MULTIPLIER, i, 1 << 64)) for i in range(n + 1)]
         for i in range(n):
-            prefix[:, i + 1] = prefix[:, i] * np.uint64(MULTIPLIER) + codes[:, i] + np.uint64(1)
-        total = np.full((len(words), n + 1), -np.inf)
-        total[:, 0] = 0
-        last = np.full((len(words), n + 1), -1, np.int64)
-        back = np.zeros((len(words), n + 1), np.int64)
+            prefix[i + 1] = prefix[i] * np.uint64(MULTIPLIER) + codes[i] + np.uint64(1)
+        total = np.full((n + 1, len(words)), -np.inf)
+        total[0] = 0
+        last = np.full((n + 1, len(words)), -1, np.int64)
+        back = np.zeros((n + 1, len(words)), np.int64)
+        every, shift = np.arange(len(words)), np.uint64(64 - FILTER_BITS)
         for i in range(1, n + 1):
             for p in reversed([p for p in self.lengths if p <= i] or [1]):
-                key = prefix[:, i] - prefix[:, i - p] * power[p]
+                key = prefix[i] - prefix[i - p] * power[p]
+                if p == 1:
+                    rows = every
+                else:
+                    rows = np.flatnonzero(self.filter[key >> shift])
+                    if not len(rows):
+                        continue
+                    key = key[rows]
                 at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
                 hit = self.keys[at] == key
-                piece = np.where(hit, self.key_ids[at], -1)
                 if p == 1:
-                    piece = np.where(hit, piece, len(self.pieces) + codes[:, i - 1].astype(np.int64))
+                    piece = np.where(hit, self.key_ids[at], len(self.pieces) + codes[i - 1].astype(np.int64))
                     gain = np.where(hit, self.score[self.key_ids[at]], self.unknown_score)
                 else:
-                    gain = self.score[self.key_ids[at]]
-                value = total[:, i - p] + gain
-                better = np.flatnonzero((piece >= 0) & (value > total[:, i]))
-                if self.ranked and len(better):
-                    better = better[self._follow(last[better, i - p], piece[better])]
-                total[better, i], last[better, i], back[better, i] = value[better], piece[better], p
-        out: list[list[int]] = [[] for _ in words]
-        where, rows = np.full(len(words), n), np.arange(len(words))
-        while len(rows):
-            for row, piece in zip(rows.tolist(), last[rows, where[rows]].tolist()):
-                out[row].append(piece)
-            where[rows] -= back[rows, where[rows]]
+                    rows, piece = rows[hit], self.key_ids[at[hit]]
+                    gain = self.score[piece]
+                value = total[i - p][rows] + gain
+                better = value > total[i][rows]
+                rows, piece, value = rows[better], piece[better], value[better]
+                if self.ranked and len(rows):
+                    may = self._follow(last[i - p][rows], piece)
+                    rows, piece, value = rows[may], piece[may], value[may]
+                total[i][rows], last[i][rows], back[i][rows] = value, piece, p
+        path = np.full((len(words), n), -1, np.int64)
+        where, rows = np.full(len(words), n), every
+        for place in range(n - 1, -1, -1):
+            path[rows, place] = last[where[rows], rows]
+            where[rows] -= back[where[rows], rows]
             rows = rows[where[rows] > 0]
-        return [o[::-1] for o in out]
+            if not len(rows):
+                break
+        taken = path >= 0
+        flat, ends = path[taken].tolist(), np.cumsum(taken.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _final(self, pieces: list[int]) -> tuple[int, ...]:
+        if max(pieces) < len(self.pieces):
+            return tuple(pieces)
         out: list[int] = []
         for piece in pieces:
             if piece < len(self.pieces):
@@ -189,26 +223,36 @@ class Vocabulary:
         return tuple(out)
 
     def segments(self, text: str) -> list[str]:
-        whole = (BLANK if self.prefix else "") + text.replace(" ", BLANK)
-        return _SEGMENT.findall(whole) if self.apart else [whole]
+        """Parts that no piece crosses, each without its first blank; a part that has no blank in front is marked by a null."""
+        if not self.apart:
+            whole = (BLANK if self.prefix else "") + text.replace(" ", BLANK)
+            return [whole[1:] if whole[:1] == BLANK else "\0" + whole]
+        if self.prefix and text[0] != " " and text[-1] != " " and "  " not in text and BLANK not in text and "\0" not in text:
+            return text.split(" ")
+        parts = _SEGMENT.findall((BLANK if self.prefix else "") + text.replace(" ", BLANK))
+        return [p[1:] if p[0] == BLANK else "\0" + p for p in parts]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; words that are not remembered are put through the lattice by length."""
         split = [self.segments(t) if t else [] for t in texts]
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
         lengths: dict[int, list[str]] = {}
-        for word in {w for words in split for w in words if w not in memo}:
-            lengths.setdefault(len(word), []).append(word)
+        for word in set(chain.from_iterable(split)).difference(memo):
+            known = older.get(word)
+            if known is None:
+                lengths.setdefault(len(word) + (word[:1] != "\0"), []).append(word)
+            else:
+                memo[word] = known
         for length, words in lengths.items():
             if len(words) < FEW_WORDS or length > LONG_WORD:
                 for word in words:
-                    memo[word] = self._final(self._one(word))
+                    memo[word] = self._final(self._one(_whole(word)))
             else:
                 for begin in range(0, len(words), 20_000):
                     part = words[begin:begin + 20_000]
-                    for word, found in zip(part, self._same_length(part)):
+                    for word, found in zip(part, self._same_length([_whole(w) for w in part])):
                         memo[word] = self._final(found)
         return [np.array(list(chain.from_iterable(map(memo.__getitem__, words))), np.int32) for words in split]
 
@@ -243,6 +287,7 @@ def encode_documents(docs: DataFrame, path: str, rows: bool = False) -> DataFram
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = _HELD.setdefault(path, sent.value)
+        gc.disable()  # the memory of words is large and has no cycles
         for frame in frames:
             texts, begin = frame["text"].tolist(), 0
             while begin < len(texts):
