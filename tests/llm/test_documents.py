@@ -139,6 +139,15 @@ def test_batched_viterbi_equals_plain_one():
         assert got.tolist() == want and count.sum() == sum(map(len, words))
 
 
+def test_scores_of_many_words_are_those_of_one():
+    draw = np.random.default_rng(6)
+    table = {g: draw.normal(-5, 3, 2) for g in ("a", "b", "ab", "^a", "b$", "aba", "^ab", "abab", "ж", "^ж", "é")}
+    model = li.Model(["x", "y"], table, np.array([-7.0, -8.0]), {"latin": np.array([True, True]), "cyrillic": np.array([True, False])})
+    words = ["a", "ab", "abab", "b" * 300, "ж", "жab", "é", "你", "Ab", "İ", "ba"]
+    model.places([words, words[:3]])
+    assert all(np.allclose(model.rows[model.memo[w]], model.score(w.lower()), atol=1e-4) for w in words)
+
+
 def test_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     keep = ~(fold("doc_id", 5) == 0)
