@@ -30,10 +30,10 @@ from siftworks.llm.common import fresh
 BLANK = "▁"
 MULTIPLIER = 0x9E3779B97F4A7C15
 # Words remembered in each of two generations, slots of the table of pairs, slots of the filter before the sorted keys (powers of two).
-MEMO_WORDS = 350_000
-PAIR_BITS, FILTER_BITS = 22, 22
+MEMO_WORDS = 150_000
+PAIR_BITS, FILTER_BITS = 21, 21
 FEW_WORDS, LONG_WORD = 8, 64
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_500_000
 _SEGMENT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _WRAP = (1 << 64) - 1
 
