@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftworks.llm.common import fresh, kept_table, table
 from siftworks.llm.decontaminate import decontaminate
-from siftworks.llm.ngram_join import ngram_jaccard_join
+from siftworks.llm.ngram_join import ngram_jaccard_components
 from siftworks.llm.quality_rules import quality_rules
 from siftworks.llm.queries import TOKENIZER
 from siftworks.llm.secret_scan import redact_secrets
@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: the one with the smallest doc_id."""
-    found = ngram_jaccard_join(docs, NEAR_WORDS, NEAR_PERCENT)
+    found = ngram_jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT)
     left = docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
     # Rows that repeat a doc_id are one document. There are few or none, so only they are grouped.
     twice = kept_table(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "twice")

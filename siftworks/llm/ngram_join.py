@@ -1,14 +1,16 @@
-"""Similarity self join on sets of word n-grams: exact Jaccard links, answered as classes of documents.
+"""Similarity self join on sets of word n-grams: exact Jaccard links, the number of links of each document, and its class.
 
 The join is a prefix join over groups. Documents with the same set are one member. Shingles are ordered by a frequency
 class and then by hash; two sets that reach the threshold share a shingle among the first ``n - ceil(t * n) + 1`` of each.
 Posting lists of the prefixes are the groups: lists with the same members are one list, and lists of one member go.
 Within a list, sizes and parity bitmaps bound the overlap from above, so that only pairs which may link are expanded; they
-are verified on the whole sets. A list is never answered with all its pairs: a first pass proposes a best-first
-spanning forest, a second one, with the classes of the first known, every pair still open between two classes.
+are verified on the whole sets. For the classes, a first pass proposes a best-first spanning forest of each list, and a second
+one, with the classes of the first known, every pair still open between two classes. Every link lies within a class, so the join
+then compares the whole sets of each class with each other, in blocks; ``ngram_jaccard_components`` leaves that out.
 
 Defined cases. Null or blank text: empty set, size 0, linked with nothing. Fewer words than ``n``: the whole sequence is
-one shingle. Repeated rows of a doc_id: one row each, computed from its own text; classes are by set, so copies meet.
+one shingle. Repeated rows of a doc_id: one row each, computed from its own text; classes are by set, so copies meet. A link is with
+another row with a doc_id; rows of equal sets are linked, and a null doc_id has no links.
 Ties: the smallest doc_id names a class. Empty table: no rows. A null doc_id never names a class of others. Other columns are not read.
 """
 
@@ -31,6 +33,9 @@ COUNTED_ONE_IN = 16
 MOST_FREQUENT = 400_000
 # Members of a posting list that one task compares with each other; longer lists are dealt as pairs of blocks.
 BLOCK = 1024
+# Sets of a class that one task compares with as many others, and shingles that it lays out at once.
+BLOCK_SETS = 256
+SHINGLES = 8192
 # Sorted ids that may be sent to the tasks (8 bytes each); beyond, the texts are joined by shuffle.
 MOST_SENT_IDS = 1_000_000
 MEMO_WORDS = 100_000
@@ -264,10 +269,9 @@ def _proposals(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
     return dealt.mapInPandas(propose, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets link. The sets are made again from the texts of the documents in the pairs only."""
+def _sets(needed: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(doc, digest, set): the whole sets of the documents needed (column doc), made again from their texts."""
     spark = docs.sparkSession
-    needed = kept_table(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "needed")
     number = needed.count()
     texts = docs.select("doc_id", "text")
     if number <= MOST_SENT_IDS:
@@ -284,9 +288,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
                 frame = frame[(wanted.value[at] == ids) & frame["doc_id"].notna().to_numpy()] if len(wanted.value) else frame.iloc[:0]
             for start in range(0, len(frame), 200):
                 part = frame.iloc[start:start + 200]
-                yield pd.DataFrame({"doc": part["doc_id"].to_numpy(np.int64), "set": [shingles(t, n).tobytes() for t in part["text"]]})
+                made = [shingles(t, n).tobytes() for t in part["text"]]
+                yield pd.DataFrame({"doc": part["doc_id"].to_numpy(np.int64), "digest": [xxhash.xxh3_128_digest(v) for v in made], "set": made})
+
+    return texts.mapInPandas(sets, "doc long, digest binary, set binary")
 
-    known = texts.mapInPandas(sets, "doc long, set binary")
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets link. The sets are made again from the texts of the documents in the pairs only."""
+    known = _sets(kept_table(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "needed"), docs, n)
     left = known.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
     right = known.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
 
@@ -302,13 +312,120 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
     return pairs.join(left, "a").join(right, "b").mapInPandas(confirm, "a long, b long").distinct()
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Common shingles of each set on the left with each on the right."""
+    values, column, often = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(left) + len(right)), [len(v) for v in (*left, *right)])
+    # Shingles of one set only are common to none.
+    use = often[column] > 1
+    row, column = row[use], (np.cumsum(often > 1) - 1)[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    found = np.zeros((len(left), len(right)), np.float64)
+    for begin in range(0, int((often > 1).sum()), SHINGLES):
+        at = slice(*np.searchsorted(column, (begin, begin + SHINGLES)))
+        laid = np.zeros((len(left) + len(right), SHINGLES), np.float32)
+        laid[row[at], column[at] - begin] = 1
+        found += laid[:len(left)] @ laid[len(left):].T
+    return found.astype(np.int64)
+
+
+def _block_links(frame: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions (i, j) of the linked sets of a block pair (columns x, y, mine, set), each pair once."""
+    sets = [np.frombuffer(v, np.uint64) for v in frame["set"]]
+    here = np.flatnonzero(frame["mine"] == frame["x"])
+    there = here if frame["x"].iloc[0] == frame["y"].iloc[0] else np.flatnonzero(frame["mine"] != frame["x"])
+    if not len(here) or not len(there):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    sizes = np.array([len(v) for v in sets])
+    linked = links(_overlaps([sets[k] for k in here], [sets[k] for k in there]), sizes[here][:, None], sizes[there][None, :], percent)
+    if there is here:
+        linked = np.triu(linked, 1)
+    i, j = np.nonzero(linked)
+    return here[i], there[j]
+
+
+def _in_blocks(members: DataFrame, classes: DataFrame, docs: DataFrame, n: int, answer, schema: str) -> DataFrame:
+    """``answer`` of every block pair (class, x, y) of the sets of a class; each two sets of a class meet in one of them."""
+    of_class = (members.join(classes, F.col("doc") == F.col("node"), "left")
+                .select("digest", "doc", "members", F.coalesce("component", "doc").alias("class")))
+    many = of_class.groupBy("class").agg(F.count("*").alias("m")).where("m > 1")
+    dealt = (of_class.join(many, "class").withColumn("blocks", F.ceil(F.col("m") / BLOCK_SETS).cast("int"))
+             .withColumn("mine", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+             .select("class", "digest", "doc", "members", "blocks", "mine"))
+    dealt = kept_table(dealt, "dealt")
+    pairs = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("class", "digest", "doc", "members", "mine", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")))
+    sets = _sets(dealt.select("doc").distinct(), docs, n).drop("doc")
+    return pairs.join(sets, "digest").groupBy("class", "x", "y").applyInPandas(lambda frame: answer(frame.drop_duplicates("digest", ignore_index=True)), schema)
+
+
+def ngram_jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """(a, b, members_a, members_b): every link between two different sets, named by their smallest doc_ids (a < b), and the documents of each set.
+
+    The documents of one set are linked with each other besides. Rows grow with the square of a group of near copies, as links do.
+    """
+    _, members, classes = _classes(docs, n, percent)
+
+    def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = _block_links(frame, percent)
+        ids, counts = frame["doc"].to_numpy(), frame["members"].to_numpy()
+        i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+        return pd.DataFrame({"a": ids[i], "b": ids[j], "members_a": counts[i], "members_b": counts[j]})
+
+    return _in_blocks(members, classes, docs, n, answer, "a long, b long, members_a long, members_b long")
+
+
+def ngram_jaccard_counts(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The columns of ``ngram_jaccard_join`` and n_links: the other rows that a row is linked with, from every pair of sets of its class."""
+    known, members, classes = _classes(docs, n, percent)
+
+    def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = _block_links(frame, percent)
+        counts = frame["members"].to_numpy()
+        found = np.bincount(i, counts[j], len(frame)) + np.bincount(j, counts[i], len(frame))
+        return pd.DataFrame({"digest": frame["digest"], "n": found.astype(np.int64)})
+
+    found = _in_blocks(members, classes, docs, n, answer, "digest binary, n long").groupBy("digest").agg(F.sum("n").alias("n"))
+    found = kept_table(found, "counts")
+    named = (_named(members, classes).join(found, "digest", "left")
+             .select("digest", "component_id", (F.col("members") - 1 + F.coalesce("n", F.lit(0))).alias("n_links")))
+    return _answered(known, named).select("doc_id", "n_shingles", "component_id", F.when(F.expr(_USED), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"))
+
+
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the set size and the smallest doc_id reachable by links of Jaccard >= percent / 100."""
+    """(doc_id, n_shingles, component_id): the set size and the smallest doc_id reachable by links of Jaccard >= percent / 100.
+
+    The contract's columns of the whole join; every link has been verified and counted.
+    """
+    return ngram_jaccard_counts(docs, n, percent).drop("n_links")
+
+
+def ngram_jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """As ``ngram_jaccard_join``, of as many links as name the classes; the others are not verified."""
+    known, members, classes = _classes(docs, n, percent)
+    return _answered(known, _named(members, classes)).select("doc_id", "n_shingles", "component_id")
+
+
+_USED = "n_shingles > 0 and doc_id is not null"
+
+
+def _named(members: DataFrame, classes: DataFrame) -> DataFrame:
+    return (members.select("digest", "doc", "members").join(classes, F.col("doc") == F.col("node"), "left")
+            .select("digest", "members", F.coalesce("component", "doc").alias("component_id")))
+
+
+def _answered(known: DataFrame, named: DataFrame) -> DataFrame:
+    found = known.join(named, "digest", "left").withColumnRenamed("size", "n_shingles")
+    return found.withColumn("component_id", F.when(F.expr(_USED), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")))
+
+
+def _classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The features of the documents, the distinct sets, and the classes (node, component) of the sets that are linked."""
     known = kept_table(features(docs, n, percent), "features")
     own = known.where("size > 0 and doc_id is not null")
     each = own.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.count("*").alias("members"), F.min_by(F.struct("size", "prefix", "bits"), "doc_id").alias("of"))
     members = kept_table(each.select("digest", "doc", "members", "of.*"), "members")
-    groups = members.select("digest", "doc", "members")
     postings = members.select("doc", "size", F.explode("prefix").alias("list"))
     # A member stays in a list where a neighbour by size may link; so lists of one go, too.
     by_size = Window.partitionBy("list").orderBy("size", "doc")
@@ -340,10 +457,4 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         .join(classes.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left") \
         .select(F.coalesce("ca", "a").alias("u"), F.coalesce("cb", "b").alias("v"))
     all_edges = edges.unionByName(classes.select(F.col("node").alias("u"), F.col("component").alias("v")))
-    final = components(all_edges)
-    named = (groups.join(final, F.col("doc") == F.col("node"), "left")
-             .where("members > 1 or component is not null")
-             .select("digest", F.coalesce("component", "doc").alias("component_id")))
-    return known.join(named, "digest", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
-        F.when((F.col("size") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return known, members, kept_table(components(all_edges), "classes")
