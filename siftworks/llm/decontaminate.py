@@ -5,8 +5,10 @@ Texts and items are compared as lower-case words joined by single blanks. An ite
 automaton finds all pieces of all items in one pass over a text. Hits of an item on neighbouring diagonals are one window, which Myers'
 bit-parallel distance verifies. Items are sent to the tasks in batches of bounded size, one pass over the texts for each.
 
-Defined cases. Null or empty texts match nothing. Items of fewer than ``FEWEST_WORDS`` words (null and empty ones too) are not looked
-for, as everyday phrases are no leaks. Items with equal words are reported each. Repeated rows: each its own, equal matches. Empty tables:
+Defined cases. Null or empty texts match nothing; null and empty items are not looked for. Items of fewer than ``SHORT_WORDS`` words are
+found unchanged only, from word boundary to word boundary; in scripts without blanks each letter counts as a word and is its own
+boundary. Items without letters and digits are found as they are written, white space aside. ``decontaminate`` needs no item_id;
+``edit_matches`` names items by it, so rows without one have no match to give. Items with equal words are reported each. Repeated rows: each its own, equal matches. Empty tables:
 no rows. Ties of the distance: the first place in the text. Other columns are not read, unless rows are asked for.
 """
 
@@ -22,17 +24,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PERCENT = 6
-FEWEST_WORDS = 5
+# Items of fewer words are looked for, too, but without edits and on word boundaries.
+SHORT_WORDS = 5
+# The fewest words of an item that is looked for.
+FEWEST_WORDS = 1
 # Characters of items that are sent to the tasks at once.
 BATCH_CHARS = 8_000_000
 
 _TOKEN = re.compile(r"[^\W_]+")
+# Fixed value: letters of scripts that put no blanks between words (Thai to Myanmar, Khmer, kana, Han).
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def plain(text: str | None) -> str:
     return " ".join(_TOKEN.findall(text)).lower() if text else ""
 
 
+def written(text: str | None) -> str:
+    return " ".join(text.split()) if text else ""
+
+
+def n_words(item: str) -> int:
+    """Words of a plain text; each letter of an unspaced script is one."""
+    alone, rest = _UNSPACED.subn(" ", item)
+    return rest + len(alone.split())
+
+
+def on_boundaries(text: str, start: int, end: int) -> bool:
+    """Whether a place of a plain text begins and ends where words may."""
+    return all(at in (0, len(text)) or " " in text[at - 1:at + 1] or _UNSPACED.search(text[at - 1:at + 1]) is not None for at in (start, end))
+
+
 def budget(length: int, percent: int) -> int:
     return percent * length // 100
 
@@ -75,10 +97,15 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], percent: int):
         self.ids: dict[str, list[int]] = {}
+        self.signs: dict[str, list[int]] = {}
         for item_id, text in rows:
-            self.ids.setdefault(plain(text), []).append(item_id)
-        self.texts = [t for t in self.ids if t.count(" ") + 1 >= FEWEST_WORDS]
-        self.budgets = [budget(len(t), percent) for t in self.texts]
+            if plain(text):
+                self.ids.setdefault(plain(text), []).append(item_id)
+            elif written(text):
+                self.signs.setdefault(written(text), []).append(item_id)
+        self.texts = list(self.ids)
+        self.short = [n_words(t) < SHORT_WORDS for t in self.texts]
+        self.budgets = [0 if short else budget(len(t), percent) for t, short in zip(self.texts, self.short)]
         held: dict[str, list[tuple[int, int]]] = {}
         for i, text in enumerate(self.texts):
             for offset, piece in pieces(text, self.budgets[i]):
@@ -99,10 +126,12 @@ class Items:
         for i in sorted(diagonals):
             item, k, best = self.texts[i], self.budgets[i], None
             starts = sorted(diagonals[i])
-            exact = next((s for s in starts if s >= 0 and text.startswith(item, s)), None)
+            exact = next((s for s in starts if s >= 0 and text.startswith(item, s) and (not self.short[i] or on_boundaries(text, s, s + len(item)))), None)
             if exact is not None:
                 yield i, 0, exact, exact + len(item)
                 continue
+            if self.short[i]:
+                continue
             begin = 0
             for j in range(1, len(starts) + 1):
                 if j < len(starts) and starts[j] - starts[j - 1] <= 2 * k:
@@ -117,6 +146,17 @@ class Items:
                 yield i, *best
 
 
+    def find_signs(self, text: str | None) -> Iterator[tuple[str, int, int]]:
+        """(item, start, end) of each item without letters and digits at its first place in the text as written."""
+        for item in self.signs if text else ():
+            place = re.search(r"\s+".join(map(re.escape, item.split())), text)
+            if place is not None:
+                yield item, place.start(), place.end()
+
+    def holds(self, text: str | None) -> bool:
+        return next(self.find(plain(text)), None) is not None or next(self.find_signs(text), None) is not None
+
+
 def _original(text: str, start: int, end: int) -> tuple[int, int]:
     """Code points of the text that the plain positions stand for."""
     at, first, last = 0, None, 0
@@ -130,9 +170,9 @@ def _original(text: str, start: int, end: int) -> tuple[int, int]:
     return first or 0, last
 
 
-def _batches(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def _batches(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     """The items in batches of at most about BATCH_CHARS characters."""
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
+    items = benchmark.where("text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     number = total // BATCH_CHARS + 1
     for part in range(number):
@@ -142,7 +182,7 @@ def _batches(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def edit_matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, distance, budget, start, end): each item that a text holds, at its best place (code points of the text)."""
     found = None
-    for rows in _batches(benchmark):
+    for rows in _batches(benchmark.where("item_id is not null")):
         sent = docs.sparkSession.sparkContext.broadcast(rows)
 
         def match(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
@@ -153,6 +193,8 @@ def edit_matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
                     for i, distance, start, end in items.find(plain(text)):
                         a, b = _original(text, start, end)
                         out += [(doc_id, item_id, distance, items.budgets[i], a, b) for item_id in items.ids[items.texts[i]]]
+                    for item, a, b in items.find_signs(text):
+                        out += [(doc_id, item_id, 0, 0, a, b) for item_id in items.signs[item]]
                 yield pd.DataFrame(out, columns=["doc_id", "item_id", "distance", "budget", "start", "end"])
 
         part = docs.select("doc_id", "text").mapInPandas(match, "doc_id long, item_id long, distance long, budget long, start long, end long")
@@ -162,13 +204,13 @@ def edit_matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item."""
-    for rows in _batches(benchmark):
+    for rows in _batches(benchmark.select(F.lit(None).cast("long").alias("item_id"), "text")):
         sent = docs.sparkSession.sparkContext.broadcast(rows)
 
         def clean(frames: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             items = Items(sent.value, percent)
             for frame in frames:
-                yield frame[np.array([next(items.find(plain(t)), None) is None for t in frame["text"]], bool)]
+                yield frame[np.array([not items.holds(t) for t in frame["text"]], bool)]
 
         docs = docs.mapInPandas(clean, docs.schema)
     return docs

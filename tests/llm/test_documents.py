@@ -101,6 +101,17 @@ def test_edit_matches_against_brute_force(spark):
     assert dc.edit_matches(table, benchmark.limit(0)).count() == 0 and dc.edit_matches(table.limit(0), benchmark).count() == 0
 
 
+def test_short_unspaced_and_unnamed_items(spark):
+    chinese = "长江是亚洲最长的河流之一也是世界第三长的河流全长六千三百公里"
+    texts = {1: "The answer: FORTY-two!", 2: "forty twofold", 3: f"问{chinese}答", 4: f"问{chinese[:9]}X{chinese[10:]}答", 5: "in 东京 now", 6: "a :-) b", 7: "unnamed item here", 8: "none of it", 9: None}
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in texts.items()], EXTRA)
+    items = [(1, "forty two"), (2, chinese), (3, "京"), (4, " :-) "), (None, "unnamed item"), (5, ""), (6, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["distance"], texts[r["doc_id"]][r["start"]:r["end"]]) for r in dc.edit_matches(docs, benchmark).collect()}
+    assert got[4, 2][0] == 1 and {k: v for k, v in got.items() if k != (4, 2)} == {(1, 1): (0, "FORTY-two"), (3, 2): (0, chinese), (5, 3): (0, "京"), (6, 4): (0, ":-)")}
+    assert {r["doc_id"] for r in dc.decontaminate(docs, benchmark).collect()} == {2, 8, 9}
+
+
 def test_benchmark_in_several_batches(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
