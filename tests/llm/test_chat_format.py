@@ -38,6 +38,25 @@ def test_template_that_rewrites_history_is_told():
     assert [renderer.add(r, t)[3] for r, t in (("user", "a"), ("assistant", "b"), ("user", "c"))] == [False, False, True]
 
 
+def test_long_conversations_of_templates_that_look_back(spark):
+    def numbered(turns):
+        return "<s>" + "".join(f"[{i}|{r}|{t}|{turns[0][1]}]" for i, (r, t) in enumerate(turns))
+
+    def last_system(turns):  # the system text stands in the last user turn
+        last = max((i for i, (r, _) in enumerate(turns) if r == "user"), default=-1)
+        return "".join(f"<{r}>{turns[0][1] if i == last else ''}{t}" for i, (r, t) in enumerate(turns))
+
+    turns = [("system", "rules")] + [(("user", "assistant")[i % 2], f"turn {i}") for i in range(150)]
+    table = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)] + [(2, 0, "user", "short")], "conv_id long, turn long, role string, text string")
+    rows = [r for r in cf.format_turns(table, numbered).orderBy("position").collect() if r["conv_id"] == 1]
+    assert "".join(r["piece"] for r in rows) == numbered(turns) and not any(r["rewritten"] for r in rows)
+    moved = [r for r in cf.format_turns(table, last_system).orderBy("position").collect() if r["conv_id"] == 1]
+    assert [r["rewritten"] for r in moved] == [r == "user" and i > 1 for i, (r, _) in enumerate(turns)]
+    wrong = cf.turn_local(lambda turns: numbered(turns))
+    marked = {(r["conv_id"], r["position"]) for r in cf.format_turns(table, wrong).where("rewritten").collect()}
+    assert (1, len(turns) - 1) in marked and not any(c == 2 for c, _ in marked)
+
+
 def test_digests(spark):
     rows = [(1, 1, "assistant", "yes", 5), (1, 0, "user", "q", 5), (2, 0, "assistant", None, 5), (3, 0, None, "x", 5), (3, 0, None, "x", 5),
             (None, 0, "user", "n", 5), (4, None, "user", "[INST]\\", 5), (5, 0, "assistant", "long " * 50_000, 5)]
