@@ -2,8 +2,9 @@
 
 The standard library's parser streams a page; block tags and line breaks end lines. A line's ratio is its text per tag; lines in
 navigation, headers, footers, asides, notices, adverts, forms, scripts and comments have none. Ratios are smoothed along the
-page, and lines above the threshold are seeds. The content region is the smallest element that holds most seed text (its article, where it is in
-one), from which nothing is left out but such parts.
+page, and lines above the threshold are seeds. The first content region is the smallest element that holds most seed text (its article,
+where most is in one). Seeds outside it make further regions: the largest element around such a seed that does not hold the first region, or
+the line alone. The lines of all regions are joined in page order, with the headings before them; nothing is left out but such parts.
 
 Defined cases. Null or empty html, or no text: "" and 0. Broken markup is read as the parser reads it; unclosed elements end with their
 parents. Repeated rows: each its own, equal text. Empty table: no rows. Other columns are not read.
@@ -30,6 +31,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SKIPPED = frozenset("head script style noscript template iframe object svg math canvas audio video nav footer aside form button select textarea option dialog menu fieldset title".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEPT_ROOTS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class, id and role that mark parts around an article.
 AROUND = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb breadcrumbs
 sidebar footer masthead cookie cookies consent notice notices notification alert popup modal overlay newsletter subscribe signup share sharing social comment comments
@@ -173,8 +175,27 @@ def main_text(html: str | None) -> tuple[str, int]:
         region = max(roots, key=lambda e: (held[e] >= MOST_OF_SEEDS * max(held[r] for r in roots), e))
     else:
         region = max((e for e, v in held.items() if v >= MOST_OF_SEEDS * total), default=-1)
-    rooted = region >= 0 and parser.names[region] in KEPT_ROOTS
-    chosen = [t for k, (t, _, _, path, out) in enumerate(lines) if not out and (region < 0 or region in path) and (rooted or not linked[k])]
+    regions, alone = {region}, set()
+    above = next((set(path[:path.index(region) + 1]) for *_, path, _ in lines if region in path), set())
+    for k in np.flatnonzero(seeds) if region >= 0 else ():
+        if region not in lines[k][3]:
+            apart = next((e for e in lines[k][3] if e not in above), None)
+            if apart is None:
+                alone.add(k)
+            else:
+                regions.add(apart)
+    rooted = [any(parser.names[e] in KEPT_ROOTS for e in path) for *_, path, _ in lines]
+    taken = [not out and (k in alone or region < 0 or not regions.isdisjoint(path)) and ((region >= 0 and rooted[k]) or not linked[k])
+             for k, (*_, path, out) in enumerate(lines)]
+    # A heading outside belongs to the next line that is no heading.
+    follows = False
+    for k in range(len(lines) - 1, -1, -1):
+        if not around[k]:
+            if not any(parser.names[e] in HEADINGS for e in lines[k][3]):
+                follows = taken[k]
+            elif follows and not linked[k]:
+                taken[k] = True
+    chosen = [t for (t, *_), use in zip(lines, taken) if use]
     return " ".join(chosen), len(chosen)
 
 

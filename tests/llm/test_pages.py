@@ -85,6 +85,21 @@ def test_parts_around_the_article():
     assert he.main_text("just text")[0] == "just text"
 
 
+def test_several_content_regions():
+    line = "Sentence {} of the story has quite a number of words in it, so that it counts as text."
+    part = lambda a, b: "".join(f"<p>{line.format(i)}</p>" for i in range(a, b))
+    text = lambda a, b: " ".join(line.format(i) for i in range(a, b))
+    nav, foot = "<nav><a href=1>One</a> <a href=2>Two</a></nav>", "<footer>Copyright and so on</footer>"
+    for cut in (3, 5, 6):
+        articles = f"<article>{part(0, cut)}</article><article>{part(cut, 10)}</article>"
+        assert he.main_text(f"<body>{nav}{articles}{foot}</body>")[0] == text(0, 10)
+        assert he.main_text(f"<body>{nav}<div>{articles}</div>{foot}</body>")[0] == text(0, 10)
+    lead = f"<h1>The head</h1><div class=lead><p>{line.format('lead')}</p></div>"
+    assert he.main_text(f"<body>{nav}{lead}<div class=body>{part(0, 15)}</div>{foot}</body>")[0] == " ".join(["The head", line.format("lead"), text(0, 15)])
+    assert he.main_text(f"<body>{nav}<main>{lead}<article>{part(0, 15)}</article></main>{foot}</body>")[0] == " ".join(["The head", line.format("lead"), text(0, 15)])
+    assert he.main_text(f"<body>{nav}<h1>The head</h1><div class=body>{part(0, 15)}</div>{foot}</body>")[0] == f"The head {text(0, 15)}"
+
+
 def test_extraction_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x", "y"), (1, "u", PAGE, "x", "y"), (None, None, None, None, None), (3, "w", "<p>" + "word " * 50_000, "x", "y")], SCHEMA)
     got = sorted((tuple(r) for r in he.extract_main_text(pages).select("page_id", "url", F.length("text") == F.col("n_chars"), "n_chars").collect()), key=str)
