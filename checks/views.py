@@ -115,19 +115,12 @@ def history(spark: SparkSession, folder: str, rows: DataFrame | None = None) ->
         F.col("match_score"))
 
 
-# The annotated table by application and folder.
-_ANNOTATED: dict[tuple[str, str], DataFrame] = {}
-
-
 def annotated(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated, classified and history-annotated postings (the selection input)."""
     from checks.corpus import BOOK
     from siftworks.operators import dedup, history as hs, joins as jn
     from siftworks.session import written
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _ANNOTATED:
-        # The history of this view is derived from the same postings, so label them once.
-        rows = written(jn.classify_results(normalized(spark, folder), BOOK.patterns, BOOK.clean), "classified")
-        # Selection, write-back and statistics all start here: written once per session and folder.
-        _ANNOTATED[key] = written(hs.annotate_history(dedup.dedup_postings(rows), history(spark, folder, rows), now()), "annotated")
-    return _ANNOTATED[key]
+    # The history of this view is derived from the same postings, so label them once.
+    rows = written(jn.classify_results(normalized(spark, folder), BOOK.patterns, BOOK.clean), "classified")
+    # A query may start several branches here: written once in each query, and never read by another one.
+    return written(hs.annotate_history(dedup.dedup_postings(rows), history(spark, folder, rows), now()), "annotated")
