@@ -1,8 +1,8 @@
 """Similarity self join on sets of word n-grams: exact Jaccard links, the number of links of each document, and its class.
 
-The join is a prefix join over groups. Documents with the same set are one member. Shingles are ordered by a frequency
+The join is a prefix join. Documents with the same set are one member. Shingles are ordered by a frequency
 class and then by hash; two sets that reach the threshold share a shingle among the first ``n - ceil(t * n) + 1`` of each.
-Posting lists of the prefixes are the groups: lists with the same members are one list, and lists of one member go.
+Posting lists of the prefixes hold members, not groups by size and prefix: lists with the same members are one list, and lists of one member go.
 Within a list, sizes and parity bitmaps bound the overlap from above, so that only pairs which may link are expanded; they
 are verified on the whole sets. For the classes, a first pass proposes a best-first spanning forest of each list, and a second
 one, with the classes of the first known, every pair still open between two classes. Every link lies within a class, so the join
