@@ -33,6 +33,19 @@ def test_statistics():
         assert qr.statistics(text)[0] == brute_statistics(text)
 
 
+def test_repeated_lines_are_judged_by_labels(spark):
+    draw = random.Random(1)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    plain = lambda n: [" ".join(word() for _ in range(8)) for _ in range(n)]
+    bad = lambda: "\n".join(line for one in plain(12) for line in (one, "abcde fghij"))
+    rows = [(i, "\n".join(plain(15)) if i % 4 else bad(), None, None, None) for i in range(400)]
+    docs = spark.createDataFrame(rows, EXTRA)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(320)], "doc_id long, quality int")
+    found = {r["doc_id"]: r for r in qr.quality_rules(docs, labels).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert {d: r["kept"] for d, r in found.items()} == {d: d % 4 > 0 for d in found}
+
+
 def test_quality_rules(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
