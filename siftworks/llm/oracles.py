@@ -40,3 +40,17 @@ l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS u, doc_id AS c FROM n UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.u)
 SELECT n.doc_id, any_value(n.size)::BIGINT AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.u = n.doc_id GROUP BY n.doc_id"""
+
+# Bytes as pairs of hexadecimal digits; a run goes on while repeated strings overlap or touch.
+SUFFIX_REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT r, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM (SELECT r, x, unnest(range(0, n - 199)) AS i FROM d)),
+g AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS c FROM w) WHERE c > 1),
+s AS (SELECT r, i, sum(CASE WHEN i - before <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run
+      FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM g)),
+v AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM s GROUP BY r, run),
+k AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS z FROM v),
+t AS (SELECT r, sum(b - a) AS gone, count(*) AS spans, string_agg(substr(x, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS left_over
+      FROM k JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(left_over, x))) AS kept_sha256
+FROM d LEFT JOIN t USING (r)"""

@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siftworks.llm import oracles
 from siftworks.llm.chat_format import format_turns, read_back, with_probe
@@ -17,6 +18,7 @@ from siftworks.llm.ngram_join import ngram_jaccard_join
 from siftworks.llm.quality_rules import quality_rules
 from siftworks.llm.secret_scan import secret_scan
 from siftworks.llm.sentencepiece_codec import encode_documents
+from siftworks.llm.suffix_repeats import remove_repeats
 from siftworks.llm.toxicity import toxicity
 from siftworks.llm.warc import archive_round_trip
 
@@ -24,7 +26,8 @@ from siftworks.llm.warc import archive_round_trip
 TOKENIZER = os.environ.get("SIFTWORKS_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {"op1_chat_format": oracles.CHAT, "op4_warc": oracles.WARC, "op9_ngram_jaccard_join": oracles.NGRAM_JOIN}
+SQL: dict[str, str] = {"op1_chat_format": oracles.CHAT, "op4_warc": oracles.WARC, "op9_ngram_jaccard_join": oracles.NGRAM_JOIN,
+                      "op11_suffix_repeats": oracles.SUFFIX_REPEATS}
 
 
 def query(key: str):
@@ -86,3 +89,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query("op11_suffix_repeats")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
