@@ -25,15 +25,27 @@ SLICE_KEYS = 2 << 20
 
 
 def packed(texts: list[bytes]) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
+    return zstandard.ZstdCompressor(level=5).compress(b"".join(texts))
 
 
 def unpacked(body: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(body)
 
 
+def key_bytes(keys: np.ndarray) -> bytes:
+    """Ascending keys as their steps, byte by byte of the same weight, compressed: the upper bytes of the steps are mostly zero."""
+    steps = np.diff(keys, prepend=keys.dtype.type(0))
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(keys), keys.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def keys_from(body: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(unpacked(body), np.uint8).reshape(width, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(f"u{width}").ravel(), dtype=f"u{width}")
+
+
 def text_blocks(docs: DataFrame, label: str, size: int = BLOCK_BYTES) -> DataFrame:
-    """Write (block, labels, sizes, body) of the documents: ``label`` names a column that stays beside each text; null texts are empty."""
+    """Write (block, labels, sizes, body) of the documents: ``label`` names a column that stays beside each text, as a string; null texts are empty."""
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, count = TaskContext.get().partitionId(), 0
         labels, texts, total = [], [], 0
@@ -42,7 +54,7 @@ def text_blocks(docs: DataFrame, label: str, size: int = BLOCK_BYTES) -> DataFra
             return pd.DataFrame({"block": [(part << 32) + count], "labels": [labels], "sizes": [[len(t) for t in texts]], "body": [packed(texts)]})
 
         for frame in frames:
-            for name, text in zip(frame["label"].astype(object).where(frame["label"].notna(), None), frame["body"]):
+            for name, text in zip(frame["label"], frame["body"]):
                 text = text or b""
                 if texts and total + len(text) > size:
                     yield row()
@@ -53,12 +65,8 @@ def text_blocks(docs: DataFrame, label: str, size: int = BLOCK_BYTES) -> DataFra
         if texts:
             yield row()
 
-    kind = docs.select(label).schema[0].dataType
-    if kind.typeName() in ("integer", "short", "byte"):
-        kind = "long"
-    rows = docs.select(F.col(label).cast(kind).alias("label"), F.col("text").cast("binary").alias("body"))
-    schema = f"block long, labels array<{kind if isinstance(kind, str) else kind.simpleString()}>, sizes array<long>, body binary"
-    return kept_table(rows.mapInPandas(pack, schema), "blocks")
+    rows = docs.select(F.col(label).cast("string").alias("label"), F.col("text").cast("binary").alias("body"))
+    return kept_table(rows.mapInPandas(pack, "block long, labels array<string>, sizes array<long>, body binary"), "blocks")
 
 
 def starts_of(sizes) -> np.ndarray:
@@ -78,11 +86,11 @@ def dealt(upper: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return order, have, np.append(begin, len(at))
 
 
-def questions(block: int, upper: np.ndarray, lower: np.ndarray, slices: int) -> Iterator[pd.DataFrame]:
-    """Rows (slice, block, keys) of distinct hashes in the order of ``dealt``; keys are written in the width of ``lower``."""
+def questions(block: int, upper: np.ndarray, lower: np.ndarray, slices: int, width: int) -> Iterator[pd.DataFrame]:
+    """Rows (slice, block, keys) of distinct ascending hashes in the order of ``dealt``; keys are the first ``width`` bytes of the lower halves."""
     order, have, begin = dealt(upper, slices)
-    lower = lower[order]
-    yield pd.DataFrame({"slice": have, "block": block, "keys": [lower[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])]})
+    keys = (lower[order] >> np.uint64(64 - 8 * width)).astype(f"u{width}")
+    yield pd.DataFrame({"slice": have, "block": block, "keys": [key_bytes(keys[a:b]) for a, b in zip(begin[:-1], begin[1:])]})
 
 
 QUESTION = "slice long, block long, keys binary"
@@ -91,11 +99,10 @@ ANSWER = "block long, slice long, repeated binary, first binary"
 
 def answers(asked: DataFrame, width: int) -> DataFrame:
     """For each question, in bits: does another entry of the slice have the same key, and is this the first one that has it."""
-    kind = np.dtype(f"u{width}")
-
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        keys = np.frombuffer(b"".join(frame["keys"]), kind)
+        cells = [keys_from(k, width) for k in frame["keys"]]
+        keys = np.concatenate(cells)
         order = np.argsort(keys, kind="stable")
         ranked = keys[order]
         same = ranked[1:] == ranked[:-1]
@@ -103,7 +110,7 @@ def answers(asked: DataFrame, width: int) -> DataFrame:
         repeated[order[1:]] = same
         repeated[order[:-1]] |= same
         first[order] = np.append(True, ~same)
-        ends = np.cumsum([len(k) // width for k in frame["keys"]])
+        ends = np.cumsum([len(c) for c in cells])
         begins = np.append(0, ends[:-1])
         return pd.DataFrame({"block": frame["block"].to_numpy(), "slice": frame["slice"].to_numpy(),
                              "repeated": [np.packbits(repeated[a:b]).tobytes() for a, b in zip(begins, ends)],

@@ -5,7 +5,8 @@ A byte goes when a string of ``length`` bytes that covers it begins somewhere el
 a position of the cover (for equal phases, all shifts of the cover do). So:
 
 1. The sample are the positions of the cover in each document. Their cores of ``length - PERIOD + 1`` bytes are ranked; a suffix
-   none of whose sample positions within ``PERIOD`` has a core that occurs twice has no equal and takes part no more.
+   none of whose sample positions within ``PERIOD`` has a core that occurs twice has no equal and takes part no more. Only the
+   regions that hold the others go on.
 2. Ties that go on for ``length + PERIOD - 1`` bytes are settled by the sample alone: such a sample position proves the ``PERIOD``
    suffixes from it on, and only its first occurrence is sent on to the buckets.
 3. The suffixes that are left go to buckets by the hash of their first ``length`` bytes, and one bucket at a time is sorted.
@@ -38,10 +39,9 @@ COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 
 HASHED_AT_ONCE = 1 << 16
 
-DOCUMENT = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string, kept binary"
+REGIONS = "block long, origins binary, sizes array<long>, body binary"
+REGION_COLUMNS = ["block", "origins", "sizes", "body"]
 DOCUMENT_COLUMNS = ["doc_id", "n_bytes", "spans", "kept_sha256", "kept"]
-PART = "block long, labels array<long>, sizes array<long>, body binary"
-PART_COLUMNS = ["block", "labels", "sizes", "body"]
 
 
 def hashes(text: bytes, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +62,7 @@ class Distinct:
         self.upper, self.twice = upper[self.index], counts > 1
 
     def ask(self, block: int, slices: int, width: int) -> Iterator[pd.DataFrame]:
-        return questions(block, self.upper, self.lower.astype(f"u{width}"), slices)
+        return questions(block, self.upper, self.lower, slices, width)
 
     def repeated(self, answer: pd.DataFrame, slices: int) -> np.ndarray:
         """For each position: does its string occur anywhere else."""
@@ -98,26 +98,20 @@ def covered(begins: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(steps)[:size] > 0
 
 
-def finished(text: bytes, starts: np.ndarray, ids: list, gone: np.ndarray, length: int, rows: bool) -> list[tuple]:
-    """The documents of a block, given the sorted positions of its repeated strings."""
-    document = np.searchsorted(starts, gone, "right") - 1
-    breaks = np.flatnonzero((np.diff(gone) > length) | (np.diff(document) > 0))
-    begins = np.append(gone[:1], gone[breaks + 1])
-    ends = np.append(gone[breaks], gone[-1:]) + length
-    at = np.searchsorted(begins, starts)
-    out = []
-    for i, name in enumerate(ids):
-        a, b = int(starts[i]), int(starts[i + 1])
-        spans = [(x - a, y - a) for x, y in zip(begins[at[i]:at[i + 1]].tolist(), ends[at[i]:at[i + 1]].tolist())]
-        edges = [0, *(e for span in spans for e in span), b - a]
-        kept = b"".join(text[a + x:a + y] for x, y in zip(edges[::2], edges[1::2]))
-        out.append((name, b - a, [{"start": x, "end": y} for x, y in spans], hashlib.sha256(kept).hexdigest(), kept if rows else None))
-    return out
+def runs(at: np.ndarray, owner: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the maximal runs of bytes that strings at the sorted positions cover; runs end with their owner."""
+    breaks = np.flatnonzero((np.diff(at) > length) | (np.diff(owner) > 0))
+    return np.append(at[:1], at[breaks + 1]), np.append(at[breaks], at[-1:]) + length
 
 
-def _ids(labels) -> list:
-    """Ids of a block; a missing one makes the array a float, whose numbers are whole."""
-    return [None if i is None or i != i else int(i) for i in labels]
+def owners(at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.searchsorted(starts, at, "right") - 1
+
+
+def may_repeat(at: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Mask of the suffixes that have one of the given sample positions within a period."""
+    nearest = np.maximum(at - (PERIOD - 1), starts[owners(at, starts)])
+    return covered(nearest, at + 1, int(starts[-1]))
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> DataFrame:
@@ -126,7 +120,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
         raise ValueError(f"strings of at least {PERIOD} bytes can be looked for")
     core, tie = length - PERIOD + 1, length + PERIOD - 1
 
-    # Step 1: sample cores that occur twice; documents without any are done.
+    # Step 1: sample cores that occur twice; only the regions around them stay.
     blocks = text_blocks(docs, "doc_id")
     total = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0]
     core_slices = slices_for((total or 0) * len(COVER) // PERIOD)
@@ -137,27 +131,23 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
                 yield from Distinct(unpacked(body), sample(starts_of(sizes), core), core).ask(block, core_slices, 4)
 
     def sift(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        row = next(frame.itertuples())
-        text, starts, ids = unpacked(row.body), starts_of(row.sizes), _ids(row.labels)
+        row, out = next(frame.itertuples()), []
+        text, starts = unpacked(row.body), starts_of(row.sizes)
         at = sample(starts, core)
-        if len(at):
-            at = at[Distinct(text, at, core).repeated(answer, core_slices)]
-        held = np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(ids)) > 0
-        parts = [text[a:b] for a, b in zip(starts[:-1], starts[1:])]
-        done = [p for p, h in zip(parts, held) if not h]
-        out = [(*d, *[None] * 6) for d in finished(b"".join(done), starts_of([len(p) for p in done]), [i for i, h in zip(ids, held) if not h],
-                                                   np.empty(0, np.int64), length, rows)]
-        if held.any():
-            # The documents that are done leave the block, so positions move.
-            gap = np.append(0, np.cumsum(np.where(held, 0, np.diff(starts))))
-            at = at - gap[np.searchsorted(starts, at, "right") - 1]
-            left = [p for p, h in zip(parts, held) if h]
-            out.append((*[None] * 5, row.block, [i for i, h in zip(ids, held) if h], [len(p) for p in left], packed(left), at.astype("u4").tobytes(), len(at)))
-        return pd.DataFrame(out, columns=[*DOCUMENT_COLUMNS, *PART_COLUMNS, "at", "n_at"], dtype=object)
+        at = at[Distinct(text, at, core).repeated(answer, core_slices)]
+        asked = np.flatnonzero(may_repeat(at, starts, length))
+        asked = asked[room(asked, starts, length)]
+        begins, ends = runs(asked, owners(asked, starts), length)
+        if len(begins):
+            region = np.searchsorted(begins, at, "right") - 1
+            inside = (region >= 0) & (at < ends[region])
+            moved = (at - begins[region] + starts_of(ends - begins)[region])[inside]
+            body = packed([text[a:b] for a, b in zip(begins.tolist(), ends.tolist())])
+            out.append((row.block, begins.tobytes(), ends - begins, body, moved.astype("u4").tobytes(), len(moved)))
+        return pd.DataFrame(out, columns=[*REGION_COLUMNS, "at", "n_at"])
 
     cores = answers(blocks.mapInPandas(ask_cores, QUESTION), 4)
-    known = kept_table(blocks.groupBy("block").cogroup(cores.groupBy("block")).applyInPandas(sift, f"{DOCUMENT}, {PART}, at binary, n_at long"), "sifted")
-    opened = known.where("block is not null").select(*PART_COLUMNS, "at", "n_at")
+    opened = kept_table(blocks.groupBy("block").cogroup(cores.groupBy("block")).applyInPandas(sift, f"{REGIONS}, at binary, n_at long"), "regions")
 
     # Step 2: long ties, settled by the sample.
     tie_slices = slices_for(opened.agg(F.sum("n_at")).first()[0])
@@ -175,21 +165,18 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
     def settle(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         row = next(frame.itertuples())
         text, starts, at, long = ties(row)
-        settled, sent = np.empty(0, np.int64), np.empty(0, np.int64)
-        if len(long):
-            strings = Distinct(text, long, tie)
-            again = strings.repeated(answer, tie_slices)
-            settled, sent = long[again], long[again & strings.first(answer, tie_slices)]
+        strings = Distinct(text, long, tie)
+        again = strings.repeated(answer, tie_slices)
+        settled, sent = long[again], long[again & strings.first(answer, tie_slices)]
         proved = covered(settled, settled + PERIOD, len(text))
-        nearest = np.maximum(at - (PERIOD - 1), starts[np.searchsorted(starts, at, "right") - 1])
-        asked = np.flatnonzero((covered(nearest, at + 1, len(text)) & ~proved) | covered(sent, sent + PERIOD, len(text)))
+        asked = np.flatnonzero((may_repeat(at, starts, length) & ~proved) | covered(sent, sent + PERIOD, len(text)))
         asked = asked[room(asked, starts, length)]
-        return pd.DataFrame({"block": [row.block], "labels": [row.labels], "sizes": [row.sizes], "body": [row.body],
-                             "settled": [settled.astype("u4").tobytes()], "asked": [asked.astype("u4").tobytes()], "n_asked": [len(asked)]})
+        return pd.DataFrame([(row.block, row.origins, row.sizes, row.body, settled.astype("u4").tobytes(), asked.astype("u4").tobytes(), len(asked))],
+                            columns=[*REGION_COLUMNS, "settled", "asked", "n_asked"])
 
     long_ties = answers(opened.mapInPandas(ask_ties, QUESTION), 8)
     left = kept_table(opened.groupBy("block").cogroup(long_ties.groupBy("block")).applyInPandas(
-        settle, f"{PART}, settled binary, asked binary, n_asked long"), "settled")
+        settle, f"{REGIONS}, settled binary, asked binary, n_asked long"), "settled")
 
     # Step 3: the suffixes that are left, bucket by bucket.
     buckets = slices_for(left.agg(F.sum("n_asked")).first()[0])
@@ -199,16 +186,33 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
             for block, body, asked in zip(frame["block"], frame["body"], frame["asked"]):
                 yield from Distinct(unpacked(body), np.frombuffer(asked, "u4"), length).ask(block, buckets, 8)
 
-    def remove(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
+    def find(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         row = next(frame.itertuples())
         text, starts, asked = unpacked(row.body), starts_of(row.sizes), np.frombuffer(row.asked, "u4").astype(np.int64)
         settled = np.frombuffer(row.settled, "u4").astype(np.int64)
         gone = covered(settled, settled + PERIOD, len(text))
-        if len(asked):
-            gone[asked[Distinct(text, asked, length).repeated(answer, buckets)]] = True
-        return pd.DataFrame(finished(text, starts, _ids(row.labels), np.flatnonzero(gone), length, rows), columns=DOCUMENT_COLUMNS, dtype=object)
+        gone[asked[Distinct(text, asked, length).repeated(answer, buckets)]] = True
+        gone = np.flatnonzero(gone)
+        begins, ends = runs(gone, owners(gone, starts), length)
+        move = np.frombuffer(row.origins, np.int64)[owners(begins, starts)] - starts[owners(begins, starts)]
+        return pd.DataFrame({"block": [row.block], "begins": [(begins + move).tobytes()], "ends": [(ends + move).tobytes()]})
+
+    def remove(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        row = next(frame.itertuples())
+        text, starts = unpacked(row.body), starts_of(row.sizes)
+        begins, ends = (np.frombuffer(b"".join(found[c]), np.int64) for c in ("begins", "ends"))
+        at, out = np.searchsorted(begins, starts), []
+        for i, name in enumerate(row.labels):
+            a, b = int(starts[i]), int(starts[i + 1])
+            spans = [(x - a, y - a) for x, y in zip(begins[at[i]:at[i + 1]].tolist(), ends[at[i]:at[i + 1]].tolist())]
+            edges = [0, *(e for span in spans for e in span), b - a]
+            kept = b"".join(text[a + x:a + y] for x, y in zip(edges[::2], edges[1::2]))
+            out.append((None if name is None else int(name), b - a, [{"start": x, "end": y} for x, y in spans],
+                        hashlib.sha256(kept).hexdigest(), kept if rows else None))
+        return pd.DataFrame(out, columns=DOCUMENT_COLUMNS, dtype=object)
 
     suffixes = answers(left.mapInPandas(ask_suffixes, QUESTION), 8)
-    removed = left.groupBy("block").cogroup(suffixes.groupBy("block")).applyInPandas(remove, DOCUMENT)
-    columns = DOCUMENT_COLUMNS if rows else DOCUMENT_COLUMNS[:-1]
-    return known.where("block is null").select(*columns).unionByName(removed.select(*columns))
+    found = left.groupBy("block").cogroup(suffixes.groupBy("block")).applyInPandas(find, "block long, begins binary, ends binary")
+    out = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(
+        remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string, kept binary")
+    return out if rows else out.drop("kept")

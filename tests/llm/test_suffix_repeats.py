@@ -81,7 +81,7 @@ def test_small_blocks(spark, monkeypatch):
 
 def test_defined_cases(spark):
     long = "the same long line of text " * 20
-    docs = spark.createDataFrame([(None, long, "", 0), (5, long, "", 0), (5, long, "", 0), (2 ** 60 + 1, "other", "", 0)], SCHEMA)
+    docs = spark.createDataFrame([(None, long, "", 0), (5, long, "", 0), (5, long, "", 0), (2 ** 60 + 1, "other", "", 0)], SCHEMA).coalesce(1)
     got = sorted((r["doc_id"] or 0, r["n_bytes"], r["kept_sha256"]) for r in sr.remove_repeats(docs).collect())
     nothing = hashlib.sha256(b"").hexdigest()
     assert got == [(0, 540, nothing), (5, 540, nothing), (5, 540, nothing), (2 ** 60 + 1, 5, hashlib.sha256(b"other").hexdigest())]
