@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.blocks import QUESTION, answers, in_order, packed, questions, slices_for, starts_of, text_blocks, unpacked
+from siftworks.llm.blocks import QUESTION, answers, in_order, key_bytes, keys_from, packed, questions, slices_for, starts_of, text_blocks, unpacked
 from siftworks.llm.common import kept_table
 
 # A perfect difference set, every shift modulo 57 is a difference of two of its members.
@@ -114,6 +115,19 @@ def may_repeat(at: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return covered(nearest, at + 1, int(starts[-1]))
 
 
+def _long(row, tie: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """Text and starts of the regions, their sample positions, and those with room for a long tie."""
+    text, starts, at = unpacked(row.body), starts_of(row.sizes), keys_from(row.at, 4).astype(np.int64)
+    return text, starts, at, at[room(at, starts, tie)]
+
+
+def _ask_ties(tie: int, slices: int, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for row in frame.itertuples():
+            text, _, _, long = _long(row, tie)
+            yield from Distinct(text, long, tie).ask(row.block, slices, 8)
+
+
 def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256) of each document, spans as maximal runs of removed bytes; with ``rows`` also kept, the bytes left."""
     if length < PERIOD:
@@ -143,7 +157,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
             inside = (region >= 0) & (at < ends[region])
             moved = (at - begins[region] + starts_of(ends - begins)[region])[inside]
             body = packed([text[a:b] for a, b in zip(begins.tolist(), ends.tolist())])
-            out.append((row.block, begins.tobytes(), ends - begins, body, moved.astype("u4").tobytes(), len(moved)))
+            out.append((row.block, begins.tobytes(), ends - begins, body, key_bytes(moved.astype("u4")), len(moved)))
         return pd.DataFrame(out, columns=[*REGION_COLUMNS, "at", "n_at"])
 
     cores = answers(blocks.mapInPandas(ask_cores, QUESTION), 4)
@@ -151,52 +165,41 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
 
     # Step 2: long ties, settled by the sample.
     tie_slices = slices_for(opened.agg(F.sum("n_at")).first()[0])
+    ties = kept_table(answers(opened.mapInPandas(partial(_ask_ties, tie, tie_slices), QUESTION), 8), "ties")
 
-    def ties(row) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-        text, starts, at = unpacked(row.body), starts_of(row.sizes), np.frombuffer(row.at, "u4").astype(np.int64)
-        return text, starts, at, at[room(at, starts, tie)]
-
-    def ask_ties(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                text, _, _, long = ties(row)
-                yield from Distinct(text, long, tie).ask(row.block, tie_slices, 8)
-
-    def settle(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        row = next(frame.itertuples())
-        text, starts, at, long = ties(row)
+    def settle(row, answer: pd.DataFrame) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """Text and starts of the regions, sample positions that prove a period of suffixes, and the suffixes that are still asked for."""
+        text, starts, at, long = _long(row, tie)
         strings = Distinct(text, long, tie)
         again = strings.repeated(answer, tie_slices)
         settled, sent = long[again], long[again & strings.first(answer, tie_slices)]
         proved = covered(settled, settled + PERIOD, len(text))
         asked = np.flatnonzero((may_repeat(at, starts, length) & ~proved) | covered(sent, sent + PERIOD, len(text)))
-        asked = asked[room(asked, starts, length)]
-        return pd.DataFrame([(row.block, row.origins, row.sizes, row.body, settled.astype("u4").tobytes(), asked.astype("u4").tobytes(), len(asked))],
-                            columns=[*REGION_COLUMNS, "settled", "asked", "n_asked"])
-
-    long_ties = answers(opened.mapInPandas(ask_ties, QUESTION), 8)
-    left = kept_table(opened.groupBy("block").cogroup(long_ties.groupBy("block")).applyInPandas(
-        settle, f"{REGIONS}, settled binary, asked binary, n_asked long"), "settled")
+        return text, starts, settled, asked[room(asked, starts, length)]
 
     # Step 3: the suffixes that are left, bucket by bucket.
-    buckets = slices_for(left.agg(F.sum("n_asked")).first()[0])
+    buckets = slices_for((opened.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0) // 2)
 
-    def ask_suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for block, body, asked in zip(frame["block"], frame["body"], frame["asked"]):
-                yield from Distinct(unpacked(body), np.frombuffer(asked, "u4"), length).ask(block, buckets, 8)
+    def ask_suffixes(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
+        row = next(frame.itertuples())
+        text, _, _, asked = settle(row, answer)
+        return pd.concat(Distinct(text, asked, length).ask(row.block, buckets, 8))
 
     def find(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        row = next(frame.itertuples())
-        text, starts, asked = unpacked(row.body), starts_of(row.sizes), np.frombuffer(row.asked, "u4").astype(np.int64)
-        settled = np.frombuffer(row.settled, "u4").astype(np.int64)
+        row, of_ties = next(frame.itertuples()), answer["ties"].astype(bool)
+        text, starts, settled, asked = settle(row, answer[of_ties])
         gone = covered(settled, settled + PERIOD, len(text))
-        gone[asked[Distinct(text, asked, length).repeated(answer, buckets)]] = True
+        gone[asked[Distinct(text, asked, length).repeated(answer[~of_ties], buckets)]] = True
         gone = np.flatnonzero(gone)
         begins, ends = runs(gone, owners(gone, starts), length)
         move = np.frombuffer(row.origins, np.int64)[owners(begins, starts)] - starts[owners(begins, starts)]
         return pd.DataFrame({"block": [row.block], "begins": [(begins + move).tobytes()], "ends": [(ends + move).tobytes()]})
 
+    regions = opened.groupBy("block")
+    suffixes = answers(regions.cogroup(ties.groupBy("block")).applyInPandas(ask_suffixes, QUESTION), 8)
+    both = ties.withColumn("ties", F.lit(True)).unionByName(suffixes.withColumn("ties", F.lit(False)))
+    found = kept_table(regions.cogroup(both.groupBy("block")).applyInPandas(find, "block long, begins binary, ends binary"), "spans")
+
     def remove(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         row = next(frame.itertuples())
         text, starts = unpacked(row.body), starts_of(row.sizes)
@@ -211,8 +214,6 @@ def remove_repeats(docs: DataFrame, length: int = 200, rows: bool = False) -> Da
                         hashlib.sha256(kept).hexdigest(), kept if rows else None))
         return pd.DataFrame(out, columns=DOCUMENT_COLUMNS, dtype=object)
 
-    suffixes = answers(left.mapInPandas(ask_suffixes, QUESTION), 8)
-    found = left.groupBy("block").cogroup(suffixes.groupBy("block")).applyInPandas(find, "block long, begins binary, ends binary")
     out = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(
         remove, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept_sha256 string, kept binary")
     return out if rows else out.drop("kept")
