@@ -54,3 +54,17 @@ t AS (SELECT r, sum(b - a) AS gone, count(*) AS spans, string_agg(substr(x, 2 *
       FROM k JOIN d USING (r) GROUP BY r)
 SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(left_over, x))) AS kept_sha256
 FROM d LEFT JOIN t USING (r)"""
+
+COLLOCATIONS = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+m AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) t(k))),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, k, f AS a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.phrase, c.k, a, cut, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score FROM c JOIN m USING (lang)
+      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM f z WHERE z.lang = b.lang AND z.k > b.k AND 100 * z.f >= 100 * b.a AND contains(' ' || z.phrase || ' ', ' ' || b.phrase || ' '))),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM q WHERE rank <= 2000"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftworks.llm import oracles
 from siftworks.llm.chat_format import format_turns, read_back, with_probe
+from siftworks.llm.collocations import collocations
 from siftworks.llm.common import fold, table
 from siftworks.llm.decontaminate import edit_matches
 from siftworks.llm.html_extract import extract_main_text
@@ -27,7 +28,7 @@ TOKENIZER = os.environ.get("SIFTWORKS_TOKENIZER", "/opt/tokenizers/piece_bpe_32k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op1_chat_format": oracles.CHAT, "op4_warc": oracles.WARC, "op9_ngram_jaccard_join": oracles.NGRAM_JOIN,
-                      "op11_suffix_repeats": oracles.SUFFIX_REPEATS}
+                      "op11_suffix_repeats": oracles.SUFFIX_REPEATS, "op13_collocations": oracles.COLLOCATIONS}
 
 
 def query(key: str):
@@ -95,3 +96,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query("op13_collocations")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
