@@ -4,19 +4,21 @@ First pass: every block counts its n-grams and deals them by hash to slices, cou
 its blocks in a Misra-Gries summary of more counters than its mass divided by the threshold: all that it takes off any counter is then
 less than the threshold, so every phrase that occurs that often keeps a counter, and one whose counter and what was taken off stay
 below it goes. Keys of equal hash share a counter, which can only keep a phrase more. Second pass: each block counts the phrases
-whose keys are left, word by word, and the counts are summed.
+whose keys are left, word by word, and the counts are summed, again slice by slice.
 
 A phrase is scored at its weakest cut: ``1000 * f(phrase) * n / (f(first) * f(rest))``, the division in decimals of 38 digits. Its
 parts occur at least as often as it does, so they are among the counted ones. A phrase goes when a longer one occurs as often; the
 phrases between the two then occur as often as well, so it is enough to look one word further.
 
+Within a block phrases are told apart by two hashes of 64 bits, between blocks by their words.
+
 Defined cases. Null text: empty. Null lang: ``und``. Repeated rows count as often as they stand. Texts without words: nothing.
 Ties in the ranking end with the phrase in byte order, which is unique in its language. Empty table: no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,15 +28,23 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftworks.llm.blocks import dealt, in_order, key_bytes, keys_from, slices_for, starts_of, text_blocks, unpacked
-from siftworks.llm.common import LOWER_AZ, kept_table, mix
-
-# Fixed values of the contract: pieces end at these characters, words at blanks.
-TOKEN = re.compile(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
-ENDS = ".,;:!?\n\x0b\x0c\r"
+from siftworks.llm.blocks import key_bytes, keys_from, packed, slices_for, starts_of, text_blocks, unpacked
+from siftworks.llm.common import kept_table, mix
+
+# Fixed values of the contract: pieces end at the characters .,;:!? and from line feed to carriage return, words at blanks and tabs.
+WORD, BLANK, STOP = 0, 1, 2
+# Between two texts stands a byte that no text has in UTF-8.
+BETWEEN = b"\xff"
+KIND = np.zeros(256, np.uint8)
+KIND[list(b" \t")] = BLANK
+KIND[list(b".,;:!?\n\x0b\x0c\r" + BETWEEN)] = STOP
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 MOST_WORDS = 5
 UNKNOWN = "und"
 
+# Groups that the word counts of the languages are summed in, before they meet.
+TOTALS = 64
 # Languages whose word counts may be sent to the tasks; beyond, they are joined by key.
 MOST_LANGUAGES = 10_000
 # Entries that are added to a summary at once, beside those it holds.
@@ -68,66 +78,84 @@ class Summary:
 
 
 class Phrases:
-    """The phrases of a block's texts: words, pieces and languages side by side."""
+    """The words of a block's texts as arrays: where they begin and end, their pieces and languages, and two hashes of each."""
 
     def __init__(self, labels, sizes, body: bytes):
-        text, starts = unpacked(body), starts_of(sizes)
-        words, number, piece, lang = {}, [], [], []
-        self.langs = sorted({UNKNOWN if name is None else name for name in labels})
-        place, count = {name: i for i, name in enumerate(self.langs)}, 0
-        for name, a, b in zip(labels, starts[:-1].tolist(), starts[1:].tolist()):
-            count, before = count + 1, len(number)
-            for token in TOKEN.findall(text[a:b].decode("utf-8", "surrogatepass").translate(LOWER_AZ)):
-                if token in ENDS:
-                    count += 1
-                else:
-                    number.append(words.setdefault(token, len(words)))
-                    piece.append(count)
-            lang += [place[UNKNOWN if name is None else name]] * (len(number) - before)
-        self.words = list(words)
-        self.number, self.piece, self.lang = np.array(number, np.int64), np.array(piece, np.int64), np.array(lang, np.int64)
+        text, at = unpacked(body), starts_of(sizes).tolist()
+        self.text = BETWEEN.join([text[a:b] for a, b in zip(at[:-1], at[1:])]).translate(LOWER)
+        each = np.frombuffer(self.text, np.uint8)
+        kind = KIND[each]
+        edge = np.diff((kind == WORD).view(np.int8), prepend=np.int8(0), append=np.int8(0))
+        self.begin, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.piece = np.cumsum(kind == STOP, dtype=np.int32)[self.begin]
+        names = [UNKNOWN if name is None else name for name in labels]
+        self.langs = sorted(set(names))
+        place = {name: i for i, name in enumerate(self.langs)}
+        self.lang = np.array([place[name] for name in names], np.int32)[np.cumsum(each == BETWEEN[0], dtype=np.int32)[self.begin]]
+        length = self.end - self.begin
+        letters = each[kind == WORD]
+        first = np.cumsum(length) - length
+        in_word = np.arange(len(letters)) - np.repeat(first, length)
+        self.word = [self._hashed(letters, in_word, first, length, base) for base in BASES]
+
+    @staticmethod
+    def _hashed(letters: np.ndarray, in_word: np.ndarray, first: np.ndarray, length: np.ndarray, base: int) -> np.ndarray:
+        """Polynomials over the bytes of each word, modulo the word of the machine."""
+        if not len(first):
+            return np.empty(0, np.uint64)
+        powers = np.full(int(length.max()), base, np.uint64)
+        powers[0] = 1
+        values = mix(np.arange(256, dtype=np.uint64) + np.uint64(base))[letters] * np.cumprod(powers)[in_word]
+        return mix(np.add.reduceat(values, first) + length.astype(np.uint64))
 
     def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, first word and length of every phrase in the pieces."""
-        word = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in self.words], np.uint64)
-        tongue = np.array([xxhash.xxh3_64_intdigest("\0" + name) for name in self.langs], np.uint64)
-        n, found = len(self.number), []
-        each = word[self.number] if n else np.empty(0, np.uint64)
-        state = tongue[self.lang] if n else each
-        for k in range(MOST_WORDS):
-            m = n - k
-            if m <= 0:
-                break
-            state = mix(state[:m] * np.uint64(0x9E3779B97F4A7C15) + each[k:])
-            whole = np.flatnonzero(self.piece[:m] == self.piece[k:])
-            found.append((state[whole], whole, np.full(len(whole), k + 1, np.int8)))
-        if not found:
+        n, found = len(self.begin), []
+        if not n:
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int8)
+        tongue = np.array([xxhash.xxh3_64_intdigest(name.encode("utf-8", "surrogatepass")) for name in self.langs], np.uint64)
+        state = tongue[self.lang]
+        for k in range(min(n, MOST_WORDS)):
+            state = mix(state[:n - k] * np.uint64(0x9E3779B97F4A7C15) + self.word[0][k:])
+            whole = np.flatnonzero(self.piece[:n - k] == self.piece[k:])
+            found.append((state[whole], whole, np.full(len(whole), k + 1, np.int8)))
         return tuple(np.concatenate(part) for part in zip(*found))
 
+    def counted(self, hashes: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct phrases among those given, by hash and by a second hash of their words: hash, first word, length, count."""
+        second = length.astype(np.uint64)
+        for k in range(MOST_WORDS):
+            more = length > k
+            second[more] = mix(second[more] * np.uint64(0x9E3779B97F4A7C15) + self.word[1][at[more] + k])
+        order = np.lexsort((second, hashes))
+        new = np.append(True, (np.diff(hashes[order]) > 0) | (np.diff(second[order]) != 0))[:len(order)]
+        begin = np.flatnonzero(new)
+        first = order[begin]
+        return hashes[first], at[first], length[first], np.diff(np.append(begin, len(order)))
+
     def phrase(self, at: int, length: int) -> tuple[str, str]:
-        return self.langs[self.lang[at]], " ".join(self.words[i] for i in self.number[at:at + length])
+        words = [self.text[a:b] for a, b in zip(self.begin[at:at + length].tolist(), self.end[at:at + length].tolist())]
+        return self.langs[self.lang[at]], b" ".join(words).decode("utf-8", "surrogatepass")
 
 
-def _cells(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Upper and lower 32 bits: the upper choose the slice, the lower are the key."""
-    return hashes >> np.uint64(32), (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+def slice_bits(keys: int | None) -> int:
+    """Slices are ranges of the hash, a power of two of them."""
+    return (slices_for(keys) - 1).bit_length()
 
 
-def _ascending(hashes: np.ndarray) -> np.ndarray:
-    """Distinct hashes are asked in the order of their lower bits, so that the keys of a slice ascend."""
-    return np.argsort(hashes << np.uint64(32) | hashes >> np.uint64(32), kind="stable")
+def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending hashes as ascending keys of 32 bits in their slices: the slices that have any, where each begins (with the end), keys."""
+    have, begin = np.unique(hashes >> np.uint64(64 - bits), return_index=True)
+    return have.astype(np.int64), np.append(begin, len(hashes)), (hashes << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
 
 
-def _first_pass(slices: int):
+def _first_pass(bits: int):
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for block, labels, sizes, body in zip(frame["block"], frame["labels"], frame["sizes"], frame["body"]):
                 hashes, counts = np.unique(Phrases(labels, sizes, body).grams()[0], return_counts=True)
-                asked = _ascending(hashes)
-                (upper, keys), counts = _cells(hashes[asked]), counts[asked].astype(np.uint32)
-                order, have, begin = dealt(upper, slices)
-                keys, counts, pack = keys[order], counts[order], zstandard.ZstdCompressor(level=1).compress
+                have, begin, keys = _cells(hashes, bits)
+                counts, pack = counts.astype(np.uint32), zstandard.ZstdCompressor(level=1).compress
                 yield pd.DataFrame({"slice": have, "block": block, "keys": [key_bytes(keys[a:b]) for a, b in zip(begin[:-1], begin[1:])],
                                     "counts": [pack(counts[a:b].tobytes()) for a, b in zip(begin[:-1], begin[1:])]})
     return count
@@ -147,36 +175,56 @@ def _merged(threshold: int):
         if held:
             summary.merge(*(np.concatenate(part) for part in zip(*held)))
         left = summary.may_reach(threshold)
-        return pd.DataFrame({"block": frame["block"], "slice": frame["slice"], "left": [np.packbits(np.isin(keys, left)).tobytes() for keys, _ in cells]})
+        return pd.DataFrame({"block": frame["block"], "slice": frame["slice"], "left": [key_bytes(keys[np.isin(keys, left)]) for keys, _ in cells]})
     return merge
 
 
-def _second_pass(slices: int):
+def _second_pass(bits: int):
     def count(frame: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         row = next(frame.itertuples())
         phrases = Phrases(row.labels, row.sizes, row.body)
         grams, at, length = phrases.grams()
-        hashes, first, counts = np.unique(grams, return_index=True, return_counts=True)
-        asked = _ascending(hashes)
-        asked = asked[in_order(answer, "left", _cells(hashes[asked])[0], slices)]
+        # Slice and key of what is left, first in a table of bits that most n-grams miss, then exactly.
+        cell = np.uint64(32 - bits)
+        left = np.concatenate([np.empty(0, np.uint64), *[(np.uint64(s) << np.uint64(32) | keys_from(k, 4)) for s, k in zip(answer["slice"], answer["left"])]])
+        left.sort()
+        seen, low = np.zeros(1 << 22, bool), np.uint64((1 << 22) - 1)
+        seen[left & low] = True
+        asked = grams >> cell
+        maybe = np.flatnonzero(seen[asked & low])
+        known = left[np.minimum(np.searchsorted(left, asked[maybe]), len(left) - 1)] == asked[maybe] if len(left) else np.empty(0, bool)
+        hashes, first, size, counts = phrases.counted(*(part[maybe[known]] for part in (grams, at, length)))
         words = np.bincount(phrases.lang, minlength=len(phrases.langs))
-        out = [(name, "", 0, int(n)) for name, n in zip(phrases.langs, words) if n]
-        out += [(*phrases.phrase(i, k), int(k), n) for i, k, n in zip(at[first[asked]].tolist(), length[first[asked]].tolist(), counts[asked].tolist())]
-        return pd.DataFrame(out, columns=["lang", "phrase", "words", "f"])
+        out = [(-1 - row.block % TOTALS, packed([json.dumps([(name, "", 0, int(n)) for name, n in zip(phrases.langs, words) if n]).encode()]))]
+        found = [(*phrases.phrase(i, k), k, n) for i, k, n in zip(first.tolist(), size.tolist(), counts.tolist())]
+        have, begin, _ = _cells(hashes, bits)
+        out += [(s, packed([json.dumps(found[a:b]).encode()])) for s, a, b in zip(have.tolist(), begin[:-1], begin[1:])]
+        return pd.DataFrame(out, columns=["slice", "counted"])
     return count
 
 
+def _summed(threshold: int):
+    def total(frame: pd.DataFrame) -> pd.DataFrame:
+        sums = {}
+        for body in frame["counted"]:
+            for lang, phrase, words, n in json.loads(unpacked(body)):
+                sums[lang, phrase, words] = sums.get((lang, phrase, words), 0) + n
+        return pd.DataFrame([(*key, n) for key, n in sums.items() if n >= threshold or not key[2]], columns=["lang", "phrase", "words", "f"])
+    return total
+
+
 def phrase_counts(docs: DataFrame, threshold: int = 100) -> DataFrame:
     """(lang, phrase, words, f) of the phrases of up to five words that occur at least ``threshold`` times, and per language all words (words 0)."""
     if threshold < 1:
         raise ValueError("a phrase occurs once at least")
     blocks = text_blocks(docs, "lang")
-    # A byte begins less than one n-gram: words are of about five bytes and begin up to five.
-    slices = slices_for(blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0])
-    asked = blocks.mapInPandas(_first_pass(slices), "slice long, block long, keys binary, counts binary")
+    # Fewer n-grams than bytes: a word and its blank have some six bytes, and five n-grams at most begin with it.
+    bits = slice_bits(blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0])
+    asked = blocks.mapInPandas(_first_pass(bits), "slice long, block long, keys binary, counts binary")
     left = asked.groupBy("slice").applyInPandas(_merged(threshold), "block long, slice long, left binary")
-    counted = blocks.groupBy("block").cogroup(left.groupBy("block")).applyInPandas(_second_pass(slices), "lang string, phrase string, words long, f long")
-    return kept_table(counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where((F.col("f") >= threshold) | (F.col("words") == 0)), "phrases")
+    counted = blocks.groupBy("block").cogroup(left.groupBy("block")).applyInPandas(_second_pass(bits), "slice long, counted binary")
+    summed = counted.groupBy("slice").applyInPandas(_summed(threshold), "lang string, phrase string, words long, f long")
+    return kept_table(summed.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")), "phrases")
 
 
 def collocations(docs: DataFrame, threshold: int = 100, top: int = 2000) -> DataFrame:
