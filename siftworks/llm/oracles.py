@@ -68,3 +68,28 @@ b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER
 o AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM f z WHERE z.lang = b.lang AND z.k > b.k AND 100 * z.f >= 100 * b.a AND contains(' ' || z.phrase || ' ', ' ' || b.phrase || ' '))),
 q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
 SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM q WHERE rank <= 2000"""
+
+# DuckDB has no crc32; its table of 256 entries follows from the polynomial.
+PREFIX_TRIE = """
+WITH RECURSIVE e AS (SELECT i::BIGINT AS i, i::BIGINT AS v, 0 AS k FROM range(256) t(i)
+                     UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM e WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM e WHERE k = 8),
+t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+             {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(x ORDER BY p) AS xs FROM t GROUP BY c),
+h AS (SELECT c, xs, c - c % 5 AS b,
+             (xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda y: ascii(y)::BIGINT)),
+                              lambda a, y: xor(a >> 8, t[xor(a & 255, y) + 1])), 4294967295) % 9)::BIGINT AS h FROM o, crc),
+r AS (SELECT h.c, list_concat(coalesce(g.xs, [])[:h.h], h.xs[h.h + 1:]) AS xs FROM h LEFT JOIN o g ON g.c = h.b),
+w AS (SELECT c, len(xs) AS n, unnest(range(0, len(xs) + 1)) AS depth, xs FROM r),
+m AS (SELECT c, depth, n, CASE WHEN depth = 0 THEN [] ELSE xs[:depth] END AS node, CASE WHEN depth < 2 THEN [] ELSE xs[:depth - 1] END AS up,
+             CASE WHEN depth = 0 THEN 0 ELSE strlen(xs[depth].text) END AS bytes FROM w),
+v AS (SELECT depth, node, min(c) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(bytes) AS bytes,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = depth), '')) AS ends_sha256 FROM m GROUP BY depth, node),
+a AS (SELECT v.*, u.conv_id AS parent_conv_id FROM v LEFT JOIN v u ON u.depth = v.depth - 1 AND u.node = v.up),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT a.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saves FROM a LEFT JOIN k USING (depth, node)),
+s AS (SELECT f.depth, f.conv_id, sum(CASE WHEN z.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(z.saves) AS saved_tokens
+      FROM f JOIN f z ON z.depth >= f.depth AND (f.depth = 0 OR z.node[:f.depth] = f.node) GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM f JOIN s USING (depth, conv_id)"""

@@ -16,6 +16,7 @@ from siftworks.llm.decontaminate import edit_matches
 from siftworks.llm.html_extract import extract_main_text
 from siftworks.llm.language_id import identify
 from siftworks.llm.ngram_join import ngram_jaccard_join
+from siftworks.llm.prefix_trie import prefix_trie
 from siftworks.llm.quality_rules import quality_rules
 from siftworks.llm.secret_scan import secret_scan
 from siftworks.llm.sentencepiece_codec import encode_documents
@@ -28,7 +29,8 @@ TOKENIZER = os.environ.get("SIFTWORKS_TOKENIZER", "/opt/tokenizers/piece_bpe_32k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op1_chat_format": oracles.CHAT, "op4_warc": oracles.WARC, "op9_ngram_jaccard_join": oracles.NGRAM_JOIN,
-                      "op11_suffix_repeats": oracles.SUFFIX_REPEATS, "op13_collocations": oracles.COLLOCATIONS}
+                      "op11_suffix_repeats": oracles.SUFFIX_REPEATS, "op12_prefix_trie": oracles.PREFIX_TRIE,
+                      "op13_collocations": oracles.COLLOCATIONS}
 
 
 def query(key: str):
@@ -98,6 +100,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+@query("op12_prefix_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_collocations")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
