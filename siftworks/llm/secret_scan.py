@@ -203,21 +203,25 @@ def secret_scan(docs: DataFrame) -> DataFrame:
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with every secret in ``text`` replaced by a mark; ``n_chars``, where present, follows the text."""
+    """The rows of ``docs`` with every secret in ``text`` replaced by a mark; ``n_chars``, where present, follows the text.
+
+    The spans of ``secret_scan`` go whole; of a labelled value the label stays. Base spans go first, so that no other replacement
+    breaks them; an access key goes with the hexadecimal digits that follow it, as the two may overlap. Then each token that is
+    left is tested where it stands.
+    """
     first = learned_cuts(scanned(docs))
-    values, plain = fresh(docs, "random_values", "plain_text")
-    found = docs.withColumn(plain, F.coalesce(F.col("text"), F.lit("")))
+    plain = fresh(docs, "plain_text")[0]
+    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "(%s)[A-Za-z0-9+/_.=-]{%d,}" % (ASSIGN_HEAD, FEWEST_ASSIGN), "$1" + MARK)
+    text = F.regexp_replace(text, "AKIA[A-Z0-9]{%d,}[0-9a-f]*|[0-9a-f]{%d,}" % (FEWEST_ACCESS - 4, FEWEST_HEX), MARK)
+    found = docs.withColumn(plain, text)
     if first:
         table = F.create_map(*[F.lit(x) for pair in sorted(first.items()) for x in pair])
-        random = F.filter(candidates(F.col(plain)), lambda s: s["bin"] < F.element_at(table, s["class"]))
-        found = found.withColumn(values, F.transform(random, lambda s: s["value"]))
-        text = F.aggregate(F.col(values), F.col(plain), lambda t, v: F.replace(t, v, F.lit(MARK)))
-    else:
-        text = F.col(plain)
-    text = F.regexp_replace(text, "(%s)[A-Za-z0-9+/_.=-]{%d,}" % (ASSIGN_HEAD, FEWEST_ASSIGN), "$1" + MARK)
-    text = F.regexp_replace(text, "AKIA[A-Z0-9]{%d,}" % (FEWEST_ACCESS - 4), MARK)
-    text = F.regexp_replace(text, "[0-9a-f]{%d,}" % FEWEST_HEX, MARK)
-    out = found.withColumn("text", F.when(F.col("text").isNotNull(), text))
+        secret = lambda t: alphabet(t).isNotNull() & (p_bin(p_value(t)) < F.element_at(table, length_class(t)))
+        pieces = lambda hits: F.zip_with(F.split(F.col(plain), TOKEN, -1), hits, lambda gap, token: F.concat(
+            gap, F.when(token.isNull(), F.lit("")).when(secret(token), F.lit(MARK)).otherwise(token)))
+        cut = let(F.regexp_extract_all(F.col(plain), F.lit(TOKEN), F.lit(0)), lambda hits: F.array_join(pieces(hits), ""))
+        found = found.withColumn(plain, F.when(F.col(plain).rlike(TOKEN), cut).otherwise(F.col(plain)))
+    out = found.withColumn("text", F.when(F.col("text").isNotNull(), F.col(plain)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

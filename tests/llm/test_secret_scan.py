@@ -99,3 +99,27 @@ def test_redaction_and_empty_table(spark):
     assert (3, "[SECRET]", 8, None) in got
     assert any(r[1] == "é😀 token = \"[SECRET]\" end" for r in got)
     assert ss.secret_scan(docs.limit(0)).count() == 0 and ss.redact_secrets(docs.limit(0)).columns == docs.columns
+
+
+def test_redaction_leaves_nothing_of_a_span(spark):
+    """Dotted, padded, glued and overlapping secrets: what is left holds no character of any span but labels."""
+    key, digits = "AKIA" + "Q7" * 9, "0123456789"
+    texts = ["token=abc123def456ghi789jk0.short-tail-secret end", "x password=C9k2.Lq8Zt4.C.J6hD5== y", f"see {key}{digits}abcdefabcdefabcdef now",
+             f"{key}PASSWORD={key}", "secret: 'a1b2c3.d4=e5/f6+g7' and " + "ab12" * 7, "api_key=token=abc123 q", "deadbeef" * 3 + "password=zzzzzz",
+             "k Zx81QpL0vB7sTn3KdRw5YhUeJm2c k Zx81QpL0vB7sTn3KdRw5YhUeJm2c1", None, "clean words only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in ss.redact_secrets(docs).collect()}
+    spans = {r["doc_id"]: r["spans"] for r in ss.secret_scan(docs).collect()}
+    import re
+    for i, text in enumerate(texts):
+        if text is None:
+            assert left[i] is None
+            continue
+        gone = set()
+        for span in filter(None, spans[i].split(",")):
+            kind, a, b = span.split(":")
+            head = re.match(ss.ASSIGN_HEAD, text[int(a):]).end() if kind == "assign" else 0
+            gone |= set(range(int(a) + head, int(b)))
+        want = "".join("\0" if j in gone else c for j, c in enumerate(text))
+        assert re.sub("\0+", "", want) == left[i].replace(ss.MARK, ""), (i, left[i])
+    assert left[9] == texts[9] and ss.MARK in left[7]
