@@ -37,6 +37,7 @@ AROUND = frozenset("""ad ads advert adverts advertisement advertising sponsor sp
 sidebar footer masthead cookie cookies consent notice notices notification alert popup modal overlay newsletter subscribe signup share sharing social comment comments
 disqus reply replies respond related recommended recommendations widget pagination pager login toolbar copyright contentinfo complementary search
 skip hidden""".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion hidden".split())
 HEADERS = frozenset("header site-header page-header global-header top-header siteheader pageheader".split())
 LAYOUT = frozenset("has with without no layout wrapper container page".split())
 
@@ -65,15 +66,22 @@ def is_around(tag: str, attributes: list[tuple[str, str | None]], inside: bool)
     return False
 
 
+def is_concealed(attributes: list[tuple[str, str | None]]) -> bool:
+    """Whether an element within a line is hidden or an advert, which takes its words out of the line."""
+    given = dict(attributes)
+    return ("hidden" in given or given.get("aria-hidden") == "true" or "display:none" in (given.get("style") or "").replace(" ", "").lower()
+            or not ADVERTS.isdisjoint((given.get("class") or "").lower().split()))
+
+
 class Lines(HTMLParser):
     """Lines of a page: text, tags, link characters, the path of open elements, and whether they are around the article."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
-        self.open: list[tuple[str, int, bool]] = []
+        self.open: list[tuple[str, int, bool, bool]] = []
         self.names: dict[int, str] = {}
-        self.around = self.links = self.roots = 0
+        self.around = self.links = self.roots = self.hidden = 0
         self.pieces: list[str] = []
         self.tags = self.link_chars = 0
 
@@ -101,14 +109,17 @@ class Lines(HTMLParser):
         around = is_around(tag, attributes, self.roots > 0)
         number = len(self.names)
         self.names[number] = tag
-        self.open.append((tag, number, around))
+        hidden = tag in INLINE and is_concealed(attributes)
+        self.open.append((tag, number, around, hidden))
         self.around += around
+        self.hidden += hidden
         self.links += tag == "a"
         self.roots += tag in KEPT_ROOTS
 
     def close(self, at: int) -> None:
-        for tag, _, around in self.open[at:]:
+        for tag, _, around, hidden in self.open[at:]:
             self.around -= around
+            self.hidden -= hidden
             self.links -= tag == "a"
             self.roots -= tag in KEPT_ROOTS
         del self.open[at:]
@@ -129,7 +140,16 @@ class Lines(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def parse_marked_section(self, i, report=1):
+        """Declarations that the parser does not know end at the next bracket, as comments do."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
+        if self.hidden:
+            return
         self.pieces.append(data)
         if self.links:
             self.link_chars += len(data.strip())

@@ -105,3 +105,12 @@ def test_extraction_table(spark):
     got = sorted((tuple(r) for r in he.extract_main_text(pages).select("page_id", "url", F.length("text") == F.col("n_chars"), "n_chars").collect()), key=str)
     assert [r[2] for r in got] == [True] * 4 and {r[3] for r in got} == {0, 249_999, len(he.main_text(PAGE)[0])}
     assert he.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_odd_declarations_and_parts_within_a_line():
+    from siftworks.llm.html_extract import main_text
+    page = "<html><body><article><p>One long line of text that is the article itself{}.</p><p>And another line of it.</p></article></body></html>"
+    want = "One long line of text that is the article itself. And another line of it."
+    for part in ("<![foo[ x ]]>", "<span hidden> not shown</span>", '<span class="advert"> buy <b>this</b></span>', '<i style="display: none">x</i>', "<![if IE]>"):
+        found = main_text(page.format(part))[0]
+        assert found.replace(" x ]]>", "").replace("]]>", "") == want, (part, found)
