@@ -57,6 +57,16 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.array(found, dtype=np.uint64)
 
 
+def forgetting(function):
+    """The same function over a partition, after which its worker holds no words."""
+    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from function(frames)
+        finally:
+            _MEMO.clear()
+    return call
+
+
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of a text (lower case for A-Z only)."""
     words = WORD.findall(text.translate(LOWER_AZ)) if text else []
@@ -94,7 +104,7 @@ def _counted(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
                 yield pd.DataFrame({"shingle": shingles(text, n).view(np.int64)})
 
     part = docs.where(F.abs(F.xxhash64("doc_id")) % COUNTED_ONE_IN == 0)
-    top = (part.select("text").mapInPandas(expand, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    top = (part.select("text").mapInPandas(forgetting(expand), "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
            .where("n > 2").orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toPandas())
     order = np.argsort(top["shingle"].to_numpy(np.int64).view(np.uint64))
     keys = top["shingle"].to_numpy(np.int64).view(np.uint64)[order]
@@ -125,7 +135,7 @@ def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     prefixes.append(found[:length].view(np.int64))
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "size": sizes, "digest": digests, "prefix": prefixes, "bits": bits})
 
-    return docs.select("doc_id", "text").mapInPandas(describe, "doc_id long, size long, digest binary, prefix array<long>, bits binary")
+    return docs.select("doc_id", "text").mapInPandas(forgetting(describe), "doc_id long, size long, digest binary, prefix array<long>, bits binary")
 
 
 def _apart(a: int, b: int, width_a: int, width_b: int) -> int:
@@ -291,7 +301,7 @@ def _sets(needed: DataFrame, docs: DataFrame, n: int) -> DataFrame:
                 made = [shingles(t, n).tobytes() for t in part["text"]]
                 yield pd.DataFrame({"doc": part["doc_id"].to_numpy(np.int64), "digest": [xxhash.xxh3_128_digest(v) for v in made], "set": made})
 
-    return texts.mapInPandas(sets, "doc long, digest binary, set binary")
+    return texts.mapInPandas(forgetting(sets), "doc long, digest binary, set binary")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:

@@ -256,6 +256,10 @@ class Vocabulary:
                         memo[word] = self._final(found)
         return [np.array(list(chain.from_iterable(map(memo.__getitem__, words))), np.int32) for words in split]
 
+    def forget(self) -> None:
+        """Give up the remembered words."""
+        self.memo, self.older = {}, {}
+
     def decode(self, ids) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text[:1] == " " else text
@@ -275,9 +279,6 @@ def load_vocabulary(path: str) -> Vocabulary:
                       model.decode(model.encode("a")) == "a" and model.id_to_piece(model.encode("a")[0]).startswith(BLANK), ranked)
 
 
-_HELD: dict[str, Vocabulary] = {}
-
-
 def encode_documents(docs: DataFrame, path: str, rows: bool = False) -> DataFrame:
     """(doc_id, ids, n_tokens, round_trip) of every document; with ``rows`` the columns of ``docs`` and the other three."""
     vocabulary = load_vocabulary(path)
@@ -286,20 +287,24 @@ def encode_documents(docs: DataFrame, path: str, rows: bool = False) -> DataFram
     ids_name, number, same = fresh(source, "ids", "n_tokens", "round_trip")
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = _HELD.setdefault(path, sent.value)
+        vocabulary = sent.value
         gc.disable()  # the memory of words is large and has no cycles
-        for frame in frames:
-            texts, begin = frame["text"].tolist(), 0
-            while begin < len(texts):
-                end, chars = begin, 0
-                while end < len(texts) and (end == begin or chars + len(texts[end] or "") <= CHUNK_CHARS):
-                    chars += len(texts[end] or "")
-                    end += 1
-                found = vocabulary.encode(texts[begin:end])
-                part = frame.iloc[begin:end] if rows else frame.iloc[begin:end][["doc_id"]]
-                yield part.assign(**{ids_name: found, number: [len(f) for f in found],
-                                     same: [vocabulary.decode(f.tolist()) == (t or "") for f, t in zip(found, texts[begin:end])]})
-                begin = end
+        try:
+            for frame in frames:
+                texts, begin = frame["text"].tolist(), 0
+                while begin < len(texts):
+                    end, chars = begin, 0
+                    while end < len(texts) and (end == begin or chars + len(texts[end] or "") <= CHUNK_CHARS):
+                        chars += len(texts[end] or "")
+                        end += 1
+                    found = vocabulary.encode(texts[begin:end])
+                    part = frame.iloc[begin:end] if rows else frame.iloc[begin:end][["doc_id"]]
+                    yield part.assign(**{ids_name: found, number: [len(f) for f in found],
+                                         same: [vocabulary.decode(f.tolist()) == (t or "") for f, t in zip(found, texts[begin:end])]})
+                    begin = end
+        finally:  # the worker goes on with other tasks
+            vocabulary.forget()
+            gc.enable()
 
     names = source.columns if rows else ["doc_id"]
     schema = ", ".join(f"`{n}` {source.schema[n].dataType.simpleString()}" for n in names) + f", {ids_name} array<int>, {number} long, {same} boolean"
