@@ -25,6 +25,7 @@ import hashlib
 import random
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -150,10 +151,12 @@ def _end_hashes(ends: DataFrame) -> DataFrame:
     """(conv_id, depth, ends_sha256) over the ids of the conversations that end in a node, ascending."""
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for (conv, depth), group in frame.groupby(["conv_id", "depth"], sort=False):
-                ids = group["conv"].tolist()
-                for a in range(0, len(ids), IDS_AT_ONCE):
-                    yield pd.DataFrame({"conv_id": [conv], "depth": [depth], "least": [ids[a]], "ids": [",".join(map(str, ids[a:a + IDS_AT_ONCE]))]})
+            out, node = [], (frame["conv_id"].to_numpy(), frame["depth"].to_numpy())
+            at = np.append(0, np.flatnonzero((np.diff(node[0]) != 0) | (np.diff(node[1]) != 0)) + 1).tolist()
+            ids = frame["conv"].tolist()
+            for a, end in zip(at, [*at[1:], len(ids)]):
+                out += [(node[0][a], node[1][a], ids[i], ",".join(map(str, ids[i:min(i + IDS_AT_ONCE, end)]))) for i in range(a, end, IDS_AT_ONCE)]
+            yield pd.DataFrame(out, columns=["conv_id", "depth", "least", "ids"])
 
     def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         node, state = None, None

@@ -40,7 +40,7 @@ def test_run_and_odd_rows(spark, tmp_path):
 
 
 def test_queries_are_complete():
-    assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(k.split("_")[0] for k in QUERIES) == sorted(f"op{n}" for n in range(1, 14))
 
 
 def test_sql_of_the_queries(spark, monkeypatch):
