@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from siftworks.functions import text as tx, urls
 from siftworks.operators.dedup import keep_last
+from siftworks.sources import splits
 
 HISTORY_RECORD = (
     "struct<job_id:string,url:string,title:string,source:string,first_seen:string,last_seen:string,"
@@ -29,32 +30,16 @@ def _read_or_empty(spark: SparkSession, read, schema: str | T.StructType) -> Dat
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A landed CSV table.  Missing, zero-byte and header-only files give an empty table.
 
-    Fields may hold line breaks and have any length.
+    Fields may hold line breaks and have any length. A file is read by as many tasks as it has blocks.
     """
-    def read() -> DataFrame:
-        return (
-            spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1)
-            .option("emptyValue", "").option("enforceSchema", False).csv(path))
-    return _read_or_empty(spark, read, schema)
+    return _read_or_empty(spark, lambda: splits.csv_rows(spark, path, schema), schema)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Rows of JSON files that hold one list each; anything else is an error.
-
-    Files are read whole, so this is for exports of bounded size; large tables are
-    kept as JSON Lines or parquet.
-    """
+    """Rows of JSON files that hold one list of objects each; anything else is an error. A file may be larger than a task's memory."""
     row = schema if isinstance(schema, str) else schema.simpleString()
     row = row if row.startswith("struct<") else _struct_ddl(spark, row)
-
-    def read() -> DataFrame:
-        texts = spark.read.text(path, wholetext=True)
-        return texts.select(
-            F.trim("value").alias("raw"), F.from_json("value", f"array<{row}>").alias("rows")
-        ).select(F.explode(F.when(F.startswith("raw", F.lit("[")) & F.col("rows").isNotNull(), F.col("rows")).otherwise(
-            F.raise_error(F.lit("expected a JSON list")))).alias("r")).select("r.*")
-    return _read_or_empty(spark, read, row.removeprefix("struct<").removesuffix(">").replace(":", " "))
+    return _read_or_empty(spark, lambda: splits.json_list_rows(spark, path, row), row.removeprefix("struct<").removesuffix(">").replace(":", " "))
 
 
 def _struct_ddl(spark: SparkSession, ddl: str) -> str:
@@ -77,8 +62,14 @@ def history_rows(raw: DataFrame, text: str = "value", order: str | None = None)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    read = lambda: spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("_file"))
-    return history_rows(_read_or_empty(spark, read, "value string, _file string"), order="_file")
+    """History records of JSON files; of one job_id the last record of the last file wins."""
+    def read() -> DataFrame:
+        found = splits.json_elements(spark, path)
+        listed = F.when(F.col("opener") == "[", F.array(F.from_json("value", HISTORY_RECORD)))
+        mapped = F.map_values(F.from_json("value", f"map<string,{HISTORY_RECORD}>"))
+        placed = found.select("_file", "_record", F.posexplode(F.coalesce(listed, mapped)).alias("_pos", "rec")).filter(tx.nz(F.col("rec.job_id")) != "")
+        return keep_last(placed.select(F.struct("_file", "_record", "_pos").alias("_place"), "rec.*"), ["job_id"], "_place").drop("_place")
+    return _read_or_empty(spark, read, HISTORY_RECORD.removeprefix("struct<").removesuffix(">").replace(":", " "))
 
 
 def sent_key_rows(raw: DataFrame, now: Column, ttl_days: int, text: str = "value", zone: str = "Europe/Rome") -> DataFrame:
@@ -97,10 +88,16 @@ def sent_key_rows(raw: DataFrame, now: Column, ttl_days: int, text: str = "value
 
 
 def read_sent_keys(spark: SparkSession, path: str, now: Column, ttl_days: int) -> DataFrame:
-    read = lambda: spark.read.text(path, wholetext=True)
+    """As ``sent_key_rows``, of JSON files; a file that is no whole mapping gives no rows."""
+    read = lambda: splits.json_elements(spark, path, strict=False).where("opener = '{'").select("value")
     return sent_key_rows(_read_or_empty(spark, read, "value string"), now, ttl_days)
 
 
+def read_run_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, name, value) of the statistics objects of runs; a missing path gives no rows, a file that is no object is an error."""
+    return _read_or_empty(spark, lambda: splits.run_stats(spark, path), "_file string, name string, value string")
+
+
 # --- sinks ---------------------------------------------------------------------
 
 # Export columns in output order (fixed output format, each once).
