@@ -19,16 +19,26 @@ def _join(left: DataFrame, right: DataFrame, key: str, order: str, spread: bool)
     return left.join(right, key, "left")
 
 
+def one_record(history: DataFrame, key: str = "job_id", latest: tuple[str, ...] = ("last_sent", "last_seen")) -> DataFrame:
+    """One record per key: the one sent last, then seen last, then the greatest as a whole; records without a key go.
+
+    Groups are made by the key that the joins below use, so this adds no exchange to theirs.
+    """
+    rest = [c for c in history.columns if c != key]
+    by = F.struct(*[c for c in latest if c in rest], *rest)
+    return history.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), by).alias("_rec")).select(key, "_rec")
+
+
 def annotate_history(df: DataFrame, history: DataFrame, now: Column, skip_days: int = fv.ROTATION_DAYS,
                      order: str = "seq", spread: bool = False) -> DataFrame:
     """Attach the history record of each posting and derive its status.
 
     After dedup the key is (nearly) unique and a plain join is right; pass
-    ``spread=True`` for tables that may hold many rows of one key.
+    ``spread=True`` for tables that may hold many rows of one key.  Of several
+    records of a job_id the one sent last counts.
     """
     left = tx.settle(df, {"job_id": ident.job_id(df), "content_hash": ident.content_hash(df)})
-    record = history.select("job_id", F.struct(
-        "first_seen", "last_seen", "last_sent", "sent_count", "content_hash").alias("_rec"))
+    record = one_record(history.select("job_id", "first_seen", "last_seen", "last_sent", "sent_count", "content_hash"))
     joined = _join(left, record, "job_id", order, spread)
     known, rec = F.col("_rec").isNotNull(), lambda name: F.col(f"_rec.{name}")
     found = tx.field(df, "found_at")
@@ -62,7 +72,7 @@ def annotate_history(df: DataFrame, history: DataFrame, now: Column, skip_days:
 def attach_pool_history(df: DataFrame, history: DataFrame, now: Column,
                         rotation_days: int = fv.ROTATION_DAYS) -> DataFrame:
     """History fields of pool rows; age and rotation are only filled when absent."""
-    record = history.select("job_id", F.struct("first_seen", "last_seen", "last_sent", "sent_count").alias("_rec"))
+    record = one_record(history.select("job_id", "first_seen", "last_seen", "last_sent", "sent_count"))
     joined = df.join(record, "job_id", "left")
     rec, found = lambda name: tx.nz(F.col(f"_rec.{name}")), tx.field(df, "found_at")
     out = joined.withColumns({
@@ -87,7 +97,7 @@ def annotate_sent_keys(df: DataFrame, sent: DataFrame, now: Column, rotation_day
     due get an empty selection_reason.
     """
     left = tx.settle(df, {"history_key": ident.sent_key(df), "row_hash": ident.sent_content_hash(df)})
-    record = sent.select(F.col("key").alias("history_key"), F.struct("sent_at", "content_hash").alias("_rec"))
+    record = one_record(sent.select(F.col("key").alias("history_key"), "sent_at", "content_hash"), "history_key", ("sent_at",))
     joined = _join(left, record, "history_key", order, spread)
     known, old = F.col("_rec").isNotNull(), tx.nz(F.col("_rec.content_hash"))
     days = ident.calendar_age_days(F.col("_rec.sent_at"), now)
@@ -107,37 +117,52 @@ def annotate_sent_keys(df: DataFrame, sent: DataFrame, now: Column, rotation_day
     }).drop("_rec")
 
 
-def upsert_history(history: DataFrame, sent: DataFrame, now: Column) -> DataFrame:
-    """History after a run: sent rows replace or extend the record of their key.
+def sent_records(sent: DataFrame, now: Column, order: str = "seq") -> DataFrame:
+    """(job_id, _new): what the rows sent in a run say of each job.
 
-    One full outer join of two keyed tables; the result is a new snapshot and
-    must be written to a new folder.
+    Rows of one job_id are sent one after the other: the last gives the fields,
+    the first its found_at, and each counts.
     """
-    sent_at = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ssXXX")
-    fresh = sent.select("job_id", F.struct(
+    row = F.struct(
         urls.canonical_url(tx.field(sent, "url")).alias("url"),
         tx.field(sent, "title").alias("title"),
         tx.field(sent, "source").alias("source"),
-        tx.field(sent, "found_at").alias("found_at"),
         sent["content_hash"].alias("content_hash"),
-        tx.to_int(sent["match_score"]).alias("match_score") if "match_score" in sent.columns else F.lit(0).alias("match_score"),
-    ).alias("_new"))
-    old = history.select("job_id", F.struct(*[c for c in HISTORY_FIELDS if c != "job_id"]).alias("_old"))
-    both = old.join(fresh, "job_id", "full_outer")
+        (tx.to_int(sent["match_score"]) if "match_score" in sent.columns else F.lit(0)).alias("match_score"),
+    )
+    rows = sent.select("job_id", F.col(order).alias("_at"), tx.field(sent, "found_at").alias("found_at"), row.alias("_row"))
+    return rows.groupBy("job_id").agg(
+        F.max_by("_row", "_at").alias("_row"), F.min_by("found_at", "_at").alias("found_at"), F.count("*").cast("int").alias("times"),
+    ).select("job_id", F.struct("_row.*", "found_at", "times", F.date_format(now, "yyyy-MM-dd'T'HH:mm:ssXXX").alias("sent_at")).alias("_new"))
+
+
+def renewed(both: DataFrame) -> DataFrame:
+    """Records of a join of ``_rec`` (the old record) and ``_new`` (what was sent); either may be null."""
     new = F.col("_new").isNotNull()
-    keep = lambda name: F.col(f"_old.{name}")
+    keep = lambda name: F.col(f"_rec.{name}")
     take = lambda name: F.when(new, F.col(f"_new.{name}")).otherwise(keep(name)).alias(name)
+    sent_at = F.col("_new.sent_at")
     first = tx.first_filled(tx.nz(keep("first_seen")), tx.nz(F.col("_new.found_at")), sent_at)
     return both.select(
         "job_id", take("url"), take("title"), take("source"),
         F.when(new, first).otherwise(keep("first_seen")).alias("first_seen"),
         F.when(new, sent_at).otherwise(keep("last_seen")).alias("last_seen"),
         F.when(new, sent_at).otherwise(keep("last_sent")).alias("last_sent"),
-        F.when(new, F.coalesce(keep("sent_count").cast("int"), F.lit(0)) + 1).otherwise(keep("sent_count").cast("int")).alias("sent_count"),
+        F.when(new, F.coalesce(keep("sent_count").cast("int"), F.lit(0)) + F.col("_new.times")).otherwise(keep("sent_count").cast("int")).alias("sent_count"),
         take("content_hash"), take("match_score"),
     )
 
 
+def upsert_history(history: DataFrame, sent: DataFrame, now: Column, order: str = "seq") -> DataFrame:
+    """History after a run: sent rows replace or extend the record of their key.
+
+    One full outer join of two keyed tables; the result is a new snapshot and
+    must be written to a new folder.  ``sources.history_table`` keeps a history
+    of which a run rewrites the touched parts only.
+    """
+    return renewed(one_record(history.select(*HISTORY_FIELDS)).join(sent_records(sent, now, order), "job_id", "full_outer"))
+
+
 def upsert_sent_keys(sent: DataFrame, rows: DataFrame, now: Column, zone: str = "Europe/Rome") -> DataFrame:
     """Small history after a run: only date and hash of the sent keys change."""
     fresh = rows.select(
