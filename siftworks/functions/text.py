@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from html.entities import html5
@@ -166,23 +168,48 @@ def phrase_words(phrase: str) -> list[str]:
 def find_phrases(df: DataFrame, text: str, phrases: Sequence[str], name: str) -> DataFrame:
     """Add an array column with the whole-word phrases of a lower-case text column.
 
-    The text is cut into words once and met with the vocabulary of all phrases,
-    so the cost hardly depends on the number of phrases.  A one-word phrase is
-    then decided; a longer one is searched for only where all its words occur.
+    The text is cut into words once and met with the vocabulary of all phrases.
+    Each phrase stands in an index under its rarest word, so only the phrases of
+    the words that occur are looked at, however many there are.  A one-word
+    phrase is then decided; a longer one is searched for only where all its
+    words occur.
     """
     phrases = [p.lower() for p in phrases]
     rules = [{
         "phrase": p, "words": phrase_words(p), "rx": phrase_regex(p), "exact": phrase_words(p) == [p],
     } for p in phrases]
-    vocabulary = sorted({word for rule in rules for word in rule["words"]})
-    words = F.array_intersect(literal_rows(vocabulary, "array<string>"), F.split(F.col(text), WORD_GAP))
+    uses = Counter(word for rule in rules for word in set(rule["words"]))
+    for rule in rules:  # a phrase without words stands under "", which every text is asked for
+        rule["key"] = min(rule["words"], key=lambda word: (uses[word], -len(word), word), default="")
+    words = F.array_intersect(literal_rows(sorted(uses), "array<string>"), F.split(F.col(text), WORD_GAP))
     found = settle(df, {"_words": words})
-    table = literal_rows(rules, "array<struct<phrase:string,words:array<string>,rx:string,exact:boolean>>")
-    hits = F.filter(table, lambda r: (F.size(F.array_except(r["words"], F.col("_words"))) == 0) & (
-        r["exact"] | (F.contains(F.col(text), r["phrase"]) & F.rlike(F.col(text), r["rx"]))))
+    keys = F.array_append(F.col("_words"), F.lit("")) if any(not rule["words"] for rule in rules) else F.col("_words")
+    hits = F.filter(indexed(keys, rules, "phrase:string,words:array<string>,rx:string,exact:boolean"), lambda r: r["exact"] | (
+        F.forall(r["words"], lambda word: F.array_contains(F.col("_words"), word))
+        & F.contains(F.col(text), r["phrase"]) & F.rlike(F.col(text), r["rx"])))
     return settle(found, {name: F.transform(hits, lambda r: r["phrase"])}).drop("_words")
 
 
+def indexed(keys: Column, rows: Sequence[dict], fields: str) -> Column:
+    """The rule rows whose ``key`` is among the distinct ``keys``, in rule order; no keys (null) give none.
+
+    Rows lie in as many slots as there are rows, by a hash of their key, so a key
+    costs one look into an array of constants and not a walk over all rules.
+    """
+    slots = 1 << max(len(rows) - 1, 1).bit_length()
+    table = [[] for _ in range(slots)]
+    for at, row in enumerate(rows):
+        table[zlib.crc32(row["key"].encode()) % slots].append({"at": at, **row})
+    schema = f"struct<at:int,key:string,{fields}>"
+    index = literal_rows(table, f"array<array<{schema}>>")
+
+    def of(key: Column) -> Column:
+        slot = (F.crc32(key.cast("binary")) % slots).cast("int") + 1
+        return F.filter(F.element_at(index, slot), lambda row: row["key"] == key)
+
+    return F.coalesce(F.sort_array(F.flatten(F.transform(keys, of))), F.array().cast(f"array<{schema}>"))
+
+
 def literal_rows(rows: list, schema: str) -> Column:
     """Rule rows as one constant (folded at planning time)."""
     return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), schema)
