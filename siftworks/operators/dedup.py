@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftworks.functions import identity as ident, text as tx, urls
 from siftworks.operators.skew import salted_left_join
-from siftworks.session import written
+from siftworks.session import scratch_path, written
 
 
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
@@ -106,14 +106,19 @@ def dedup_greedy(df: DataFrame, keys: Column, order: str = "seq") -> DataFrame:
     contested = written(every.join(shared, "_key", "left_semi").select(order).distinct(), "contested")
     pairs = written(every.join(contested, order, "left_semi"), "pairs")
     kept = keyless.unionByName(every.join(contested, order, "left_anti").select(order).distinct())
+    # The winners of all rounds lie in one folder and are read by one scan at the end, however many rounds there were.
+    spark, won, rounds = df.sparkSession, scratch_path(df.sparkSession, "winners"), 0
     while not pairs.isEmpty():
         firsts = pairs.groupBy("_key").agg(F.min(order).alias(order))
         # A row wins when it is first for as many keys as it has left.
         wins = firsts.groupBy(order).agg(F.count("*").alias("_wins"))
         sizes = pairs.groupBy(order).agg(F.count("*").alias("_keys"))
-        winners = written(wins.join(sizes, order).filter(F.col("_wins") == F.col("_keys")).select(order), "winners")
-        kept = kept.unionByName(winners)
+        wins.join(sizes, order).filter(F.col("_wins") == F.col("_keys")).select(order).write.parquet(f"{won}/_round={rounds}")
+        winners = spark.read.schema(contested.schema).parquet(f"{won}/_round={rounds}")
+        rounds += 1
         taken = pairs.join(winners, order, "left_semi").select("_key").distinct()
         hit = salted_left_join(pairs, taken, "_key", order, how="left_semi").select(order).distinct()
         pairs = written(pairs.join(hit, order, "left_anti"), "pairs")
+    if rounds:
+        kept = kept.unionByName(spark.read.schema(contested.schema).parquet(*[f"{won}/_round={i}" for i in range(rounds)]))
     return df.join(kept, order, "left_semi")
