@@ -327,8 +327,7 @@ def pool_sort(spark, folder):
 def report_sort_top(spark, folder):
     rows = annotated(spark, folder)
     df = sel.write_back_selection(rows, sel.select_by_buckets(rows))
-    top = df.orderBy(*sel.report_order(df)).limit(100)
-    return sel.rank_rows(top, sel.report_order(top)).select("seq", "selection_reason", "match_score", "rank")
+    return sel.rank_top(df, sel.report_order, 100).select("seq", "selection_reason", "match_score", "rank")
 
 
 @query("selected_or_all", MARK + "SELECT seq, selection_reason FROM marked WHERE picked")

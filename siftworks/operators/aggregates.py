@@ -305,9 +305,13 @@ def block_diagnostics(df: DataFrame, profile: str, rules: ReportRules) -> DataFr
 
 
 def block_groups(report: DataFrame, profile: str, rules: ReportRules, order: Sequence[Column]) -> DataFrame:
-    """Titles of the (limited) report rows per block, blocks in fixed order, empty blocks kept."""
-    from siftworks.operators.selection import rank_rows
-    ranked = rank_rows(report.withColumn("block", cl.report_block(report, profile, rules)), list(order))
+    """Titles of the (limited) report rows per block, blocks in fixed order, empty blocks kept.
+
+    Rows are numbered by ranges of the order, without a global window; the list of a
+    block holds the titles of its report rows, whose number the report's limit bounds.
+    """
+    from siftworks.operators.selection import rank_all
+    ranked = rank_all(report.withColumn("block", cl.report_block(report, profile, rules)), list(order), ["block", "title"])
     grouped = ranked.groupBy("block").agg(
         F.count("*").alias("n"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "title"))), lambda r: r["title"]), " | ").alias("titles"))

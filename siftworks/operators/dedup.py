@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from siftworks.functions import identity as ident, text as tx, urls
@@ -90,35 +93,63 @@ def post_keys(df: DataFrame) -> Column:
         F.array(tx.field(df, "url"), pair("author"), pair("subreddit")), lambda k: k != ""))
 
 
-def dedup_greedy(df: DataFrame, keys: Column, order: str = "seq") -> DataFrame:
+def _first_come(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Winners among rows that arrive in order with all their keys."""
+    taken: set[str] = set()
+    for frame in frames:
+        won = []
+        for number, keys in zip(frame["_order"], frame["_keys"]):
+            if taken.isdisjoint(keys):
+                taken.update(keys)
+                won.append(number)
+        yield pd.DataFrame({"_order": won})
+
+
+def dedup_greedy(df: DataFrame, keys: Column, order: str = "seq", at_once: int = 100_000) -> DataFrame:
     """Order-dependent dedup on several keys at once.
 
     A row is dropped when one of its keys was taken by an earlier kept row; only
-    kept rows take keys.  Each round keeps the undecided rows that come first
-    for every one of their keys and drops the rows that share a key with them;
-    the narrow (order, key) table shrinks until nothing is undecided.  Rows whose
-    keys nobody else has are set aside before, so rounds work on contested rows
-    only; their number is the longest conflict chain, without a limit.
+    kept rows take keys.  Rows whose keys nobody else has are set aside; the
+    others are decided in steps over a narrow (order, key) table, of two kinds:
+
+    * side by side: rows that come first for every one of their keys are kept;
+    * in order: the first ``at_once`` undecided rows depend on each other only, so
+      one task walks through them (their orders and keys are all that it holds).
+
+    After both, rows that share a key with a kept one are dropped.  Steps are side
+    by side while each decides at least half of the rows that are left; after one that
+    does not, and for the last ``at_once`` rows, comes a step in order.  A chain of n rows
+    thus takes about 2 n / ``at_once`` steps, not n.  Rows without keys are kept;
+    repeated keys of a row count once; an empty table stays empty.
     """
-    every = written(df.select(F.col(order), F.explode(keys).alias("_key")), "keys")
-    keyless = df.filter(F.size(keys) == 0).select(order)
-    shared = every.groupBy("_key").agg(F.min(order).alias("_low"), F.max(order).alias("_high")).filter("_low < _high").select("_key")
-    contested = written(every.join(shared, "_key", "left_semi").select(order).distinct(), "contested")
-    pairs = written(every.join(contested, order, "left_semi"), "pairs")
-    kept = keyless.unionByName(every.join(contested, order, "left_anti").select(order).distinct())
-    # The winners of all rounds lie in one folder and are read by one scan at the end, however many rounds there were.
-    spark, won, rounds = df.sparkSession, scratch_path(df.sparkSession, "winners"), 0
-    while not pairs.isEmpty():
-        firsts = pairs.groupBy("_key").agg(F.min(order).alias(order))
-        # A row wins when it is first for as many keys as it has left.
-        wins = firsts.groupBy(order).agg(F.count("*").alias("_wins"))
-        sizes = pairs.groupBy(order).agg(F.count("*").alias("_keys"))
-        wins.join(sizes, order).filter(F.col("_wins") == F.col("_keys")).select(order).write.parquet(f"{won}/_round={rounds}")
-        winners = spark.read.schema(contested.schema).parquet(f"{won}/_round={rounds}")
-        rounds += 1
-        taken = pairs.join(winners, order, "left_semi").select("_key").distinct()
-        hit = salted_left_join(pairs, taken, "_key", order, how="left_semi").select(order).distinct()
-        pairs = written(pairs.join(hit, order, "left_anti"), "pairs")
-    if rounds:
-        kept = kept.unionByName(spark.read.schema(contested.schema).parquet(*[f"{won}/_round={i}" for i in range(rounds)]))
-    return df.join(kept, order, "left_semi")
+    spark, kind = df.sparkSession, df.schema[order].dataType
+    every = written(df.select(F.col(order).alias("_order"), F.explode(F.array_distinct(keys)).alias("_key")).filter("_key is not null"), "keys")
+    shared = every.groupBy("_key").agg(F.min("_order").alias("_low"), F.max("_order").alias("_high")).filter("_low < _high").select("_key")
+    contested = written(every.join(shared, "_key", "left_semi").select("_order").distinct(), "contested")
+    pairs, left, in_order = written(every.join(contested, "_order", "left_semi"), "pairs"), contested.count(), False
+    # The winners of all steps lie in one folder and are read by one scan at the end.
+    won, steps = scratch_path(spark, "winners"), 0
+    while left:
+        in_order = in_order or left <= at_once
+        if in_order:
+            first = pairs.groupBy("_order").agg(F.collect_list("_key").alias("_keys")).orderBy("_order").limit(at_once)
+            found = first.coalesce(1).sortWithinPartitions("_order").mapInPandas(_first_come, contested.schema)
+        else:
+            # A row wins when it is first for as many keys as it has left.
+            wins = pairs.groupBy("_key").agg(F.min("_order").alias("_order")).groupBy("_order").agg(F.count("*").alias("_wins"))
+            sizes = pairs.groupBy("_order").agg(F.count("*").alias("_all"))
+            found = wins.join(sizes, "_order").filter("_wins = _all").select("_order")
+        found.write.parquet(f"{won}/_step={steps}")
+        winners = spark.read.schema(contested.schema).parquet(f"{won}/_step={steps}")
+        steps += 1
+        if in_order and left <= at_once:
+            break
+        taken = pairs.join(winners, "_order", "left_semi").select("_key").distinct()
+        hit = salted_left_join(pairs, taken, "_key", "_order", how="left_semi").select("_order").distinct()
+        pairs = written(pairs.join(hit, "_order", "left_anti"), "pairs")
+        before, left = left, pairs.select("_order").distinct().count()
+        in_order = not in_order and 2 * left > before
+    lost = contested
+    if steps:
+        lost = contested.join(spark.read.schema(contested.schema).parquet(*[f"{won}/_step={i}" for i in range(steps)]), "_order", "left_anti")
+    return df.join(lost.select(F.col("_order").cast(kind).alias(order)), order, "left_anti")

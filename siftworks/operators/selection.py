@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -12,6 +12,11 @@ from siftworks.rules import WeightedRules, fixed_values as fv
 from siftworks.session import cut, written
 
 SCORES = ("match_score", "student_score", "candidate_score", "score")
+# Every column that an order of this module looks at, besides the input order.
+SORT_FIELDS = ("selection_reason", "history_status", "priority_bucket", "remote", "job_score", *SCORES)
+
+# What to sort a table by; it is asked again for each form of the table.
+Order = Callable[[DataFrame], list[Column]]
 
 
 def by_scores(df: DataFrame, names=SCORES) -> list[Column]:
@@ -62,11 +67,52 @@ def collector_top(df: DataFrame, top: int, part_time_first: bool = False,
     return df.orderBy(*sort).limit(top)
 
 
+# Rows that may be ordered in one task.
+ONE_TASK = 50_000
+
+
 def rank_rows(df: DataFrame, sort: list[Column], name: str = "rank") -> DataFrame:
     """Number the rows of an already limited table."""
     return df.withColumn(name, F.row_number().over(Window.orderBy(*sort)))
 
 
+def first_rows(df: DataFrame, sort: Order, top: int, columns: list[str], one_task: int = ONE_TASK) -> DataFrame:
+    """Those columns of the first ``top`` rows of a total order, in no order.
+
+    A small ``top`` is a sort with a limit, where each task sends its best rows.
+    Beyond ``one_task`` rows the columns are written in ranges of the order instead:
+    ranges that end within ``top`` are taken as they are, and only the range at the
+    edge is ordered.  ``sort`` must be a total order over ``columns`` (it ends with the
+    unique input order); fewer rows than ``top``, or none, are all taken.
+    """
+    top = max(top, 0)
+    if top <= one_task:
+        return df.orderBy(*sort(df)).limit(top).select(*columns)
+    placed = written(df.select(*columns).repartitionByRange(*sort(df)).withColumn("_part", F.spark_partition_id()), "ranges")
+    ends = placed.groupBy("_part").agg(F.count("*").alias("_size")).withColumn("_end", F.sum("_size").over(Window.orderBy("_part")))
+    # One row per range; where the edge lies is all that the driver gets.
+    edge = ends.filter(F.col("_end") > top).orderBy("_part").first()
+    if edge is None:
+        return placed.drop("_part")
+    at = placed.filter(F.col("_part") == edge["_part"])
+    rest = at.orderBy(*sort(at)).limit(top - edge["_end"] + edge["_size"])
+    return placed.filter(F.col("_part") < edge["_part"]).unionByName(rest).drop("_part")
+
+
+def rank_top(df: DataFrame, sort: Order, top: int, order: str = "seq", name: str = "rank", one_task: int = ONE_TASK) -> DataFrame:
+    """The first ``top`` rows of a total order, whole and numbered.
+
+    Beyond ``one_task`` rows only the columns that are sorted by travel: they are cut at
+    ``top`` by ranges, numbered by ranges, and the rows are joined back by ``order``.
+    """
+    if top <= one_task:
+        best = df.orderBy(*sort(df)).limit(max(top, 0))
+        return rank_rows(best, sort(best), name)
+    columns = [c for c in dict.fromkeys([*SORT_FIELDS, order]) if c in df.columns]
+    first = first_rows(df.select(*columns), sort, top, columns, one_task)
+    return df.join(rank_all(first, sort(first), [order], name), order)
+
+
 def rank_all(df: DataFrame, sort: list[Column], columns: list[str], name: str = "rank") -> DataFrame:
     """Number all rows of a table in sort order, without a global window.
 
@@ -110,7 +156,7 @@ def repeat_filter(df: DataFrame, include_seen: bool = False, repeat: int = fv.MA
 
 def select_by_buckets(df: DataFrame, target: int = fv.SELECTION_TARGET, min_match: int = fv.SELECTION_MIN_MATCH,
                       include_seen: bool = False, repeat: int = fv.MAX_SEEN_REPEAT,
-                      fallback: bool = False, order: str = "seq") -> DataFrame:
+                      fallback: bool = False, order: str = "seq", one_task: int = ONE_TASK) -> DataFrame:
     """At most ``target`` rows from ordered buckets, one row per dedup key.
 
     Filling bucket after bucket and skipping taken keys gives the same rows as
@@ -129,7 +175,8 @@ def select_by_buckets(df: DataFrame, target: int = fv.SELECTION_TARGET, min_matc
     narrow = df.withColumn("_bucket", number).filter(F.col("_bucket").isNotNull() & rs.selectable(df, min_match)).select(
         F.col(order).alias("_order"), "_bucket", ident.dedup_key(df).alias("_key"), *_sort_columns(df))
     sort = [F.col("_bucket"), *_sorted(df)]
-    chosen = keep_first(narrow, ["_key"], sort).orderBy(*sort).limit(target).select(F.col("_order").alias(order), "_bucket")
+    firsts = keep_first(narrow, ["_key"], sort)
+    chosen = first_rows(firsts, lambda _: sort, target, firsts.columns, one_task).select(F.col("_order").alias(order), "_bucket")
     names = F.array(*[F.lit(name) for name, _ in ordered])
     return df.join(chosen, order).withColumn("selection_reason", F.element_at(names, F.col("_bucket") + 1)).drop("_bucket")
 
@@ -179,12 +226,12 @@ def quota_groups(df: DataFrame) -> dict[str, Column]:
 
 
 def quota_top(df: DataFrame, top: int = fv.EXPORT_TOP, quotas: Mapping[str, int] | None = None,
-              groups: Mapping[str, Column] | None = None, order: str = "seq") -> DataFrame:
+              groups: Mapping[str, Column] | None = None, order: str = "seq", one_task: int = ONE_TASK) -> DataFrame:
     """Top rows with a minimum share per category group.
 
     Groups claim their best keys in turn, then the rest is filled by score.  A
     group can lose at most the keys claimed before it, so its first
-    (earlier quotas + own quota) keys are all it ever needs: one sort with a limit
+    (earlier quotas + own quota) keys are all it ever needs: one cut by ``first_rows``
     per group over the narrow sort columns.  The claims are then replayed as one
     anti join and limit per group, and the chosen rows joined back.
     """
@@ -199,12 +246,12 @@ def quota_top(df: DataFrame, top: int = fv.EXPORT_TOP, quotas: Mapping[str, int]
     claims, needed = None, 0
     for stage, (_, size) in enumerate(stages):
         needed += size
-        pool = best.filter(F.col("_stage") == stage).orderBy(*sort).limit(needed)
+        pool = first_rows(best.filter(F.col("_stage") == stage), lambda _: sort, needed, best.columns, one_task)
         if claims is not None:
             pool = pool.join(claims.select("_key"), "_key", "left_anti")
-        own = written(pool.orderBy(*sort).limit(size), "claims")
+        own = written(first_rows(pool, lambda _: sort, size, best.columns, one_task), "claims")
         claims = own if claims is None else claims.unionByName(own)
-    chosen = claims.orderBy("_stage", *sort).limit(top).select(F.col("_order").alias(order))
+    chosen = first_rows(claims, lambda _: [F.col("_stage"), *sort], top, best.columns, one_task).select(F.col("_order").alias(order))
     result = df.join(chosen, order, "left_semi")
     return result.orderBy(*status_order(result, order))
 

@@ -125,5 +125,4 @@ def report_rows(jobs: DataFrame, book: RuleBook, top: int = fv.REPORT_TOP, order
     """Enriched top rows of the report in report order."""
     from siftworks.operators.projections import report_columns
     chosen = fl.selected_or_all(jobs)
-    best = chosen.orderBy(*sel.report_order(chosen, order)).limit(top)
-    return sel.rank_rows(report_columns(best, book.report), sel.report_order(best, order))
+    return report_columns(sel.rank_top(chosen, lambda df: sel.report_order(df, order), top, order), book.report)

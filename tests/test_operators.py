@@ -80,8 +80,8 @@ def test_quota_selection(spark, seed, top):
                 chosen.append(j["seq"])
                 keys.add(j["url"])
                 quota -= 1
-    for parts in (1, 7):
-        got = sel.quota_top(spark.createDataFrame(jobs).repartition(parts), top, quotas)
+    for parts, one_task in ((1, sel.ONE_TASK), (7, sel.ONE_TASK), (7, 0)):
+        got = sel.quota_top(spark.createDataFrame(jobs).repartition(parts), top, quotas, one_task=one_task)
         assert sorted(r.seq for r in got.collect()) == sorted(chosen)
 
 

@@ -1,11 +1,16 @@
 """Operators against the standard library and against plain loops, beyond the data of the registered queries."""
 import html
+import random
+import re
+from pathlib import Path
 from urllib.parse import urljoin
 
+import pytest
 from pyspark.sql import functions as F
 
 from siftworks.functions import text as tx, urls
 from siftworks.operators import dedup, projections, selection, sets
+from siftworks.session import scratch_path
 from siftworks.sources import files
 
 
@@ -69,7 +74,73 @@ def test_long_conflict_chain(spark):
         if not taken & set(keys):
             kept.append(seq)
             taken |= set(keys)
-    assert sorted(r["seq"] for r in dedup.dedup_greedy(df, F.col("keys")).collect()) == kept
+    for at_once in (100_000, 7):
+        assert sorted(r["seq"] for r in dedup.dedup_greedy(df, F.col("keys"), at_once=at_once).collect()) == kept
+
+
+def steps_of(monkeypatch):
+    """Count the steps of the greedy dedup: one folder of winners each."""
+    folders = []
+    monkeypatch.setattr(dedup, "scratch_path", lambda spark, label: folders.append(scratch_path(spark, label)) or folders[-1])
+    return lambda: len(list(Path(folders[-1].removeprefix("file:")).glob("_step=*")))
+
+
+def test_chain_of_ten_thousand_rows_takes_few_steps(spark, monkeypatch):
+    steps = steps_of(monkeypatch)
+    df = spark.range(10_000).select(F.col("id").alias("seq"), F.array(F.concat(F.lit("k"), F.col("id")), F.concat(F.lit("k"), F.col("id") + 1)).alias("keys"))
+    for at_once, most in ((100_000, 1), (4000, 5)):
+        kept = dedup.dedup_greedy(df, F.col("keys"), at_once=at_once)
+        assert [r["seq"] for r in kept.orderBy("seq").collect()] == list(range(0, 10_000, 2))
+        assert steps() <= most
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_greedy_dedup_in_both_kinds_of_steps(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice([None, [], [f"k{rnd.randrange(40)}" for _ in range(rnd.randrange(1, 4))]])) for i in rnd.sample(range(1000), 120)]
+    taken, kept = set(), []
+    for seq, keys in sorted(rows, key=lambda r: r[0]):
+        if not taken & set(keys or []):
+            kept.append(seq)
+            taken |= set(keys or [])
+    df = spark.createDataFrame(rows, "seq int, keys array<string>").repartition(5)
+    for at_once in (5, 40):
+        got = dedup.dedup_greedy(df, F.col("keys"), at_once=at_once)
+        assert got.schema == df.schema and sorted(r["seq"] for r in got.collect()) == kept
+    assert dedup.dedup_greedy(df.limit(0), F.col("keys")).count() == 0
+
+
+def scored(spark, n, seed):
+    rnd = random.Random(seed)
+    rows = [(i, rnd.choice(["", "NEW", "SEEN", "UPDATED", None]), rnd.choice(["NEW", "SEEN"]), rnd.randrange(4), rnd.choice([1, 2, None]), f"text {i}") for i in range(n)]
+    return spark.createDataFrame(rows, "seq int, selection_reason string, history_status string, match_score int, score int, description string").repartition(7)
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Keep the ranges of small tables apart, as large ones are."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("top", [0, 1, 150, 300, 1000])
+def test_top_rows_by_ranges_are_those_of_a_sort(spark, many_ranges, top):
+    df = scored(spark, 300, top)
+    for order in (selection.report_order, selection.status_order, selection.pool_order):
+        plain = [(r["seq"], i + 1, r["description"]) for i, r in enumerate(df.orderBy(*order(df)).limit(top).collect())]
+        for one_task in (selection.ONE_TASK, 0):
+            got = selection.rank_top(df, order, top, one_task=one_task)
+            assert sorted(((r["seq"], r["rank"], r["description"]) for r in got.collect()), key=lambda r: r[1]) == plain
+
+
+def test_only_the_edge_of_a_large_top_is_ordered(spark, many_ranges):
+    df = spark.range(40_000).select(F.col("id").alias("seq"), (F.col("id") * 7919 % 1009).cast("int").alias("score"))
+    first = selection.first_rows(df, selection.pool_order, 25_000, ["seq", "score"], one_task=1000)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    limit = int(re.search(r"TakeOrderedAndProject\(limit=(\d+)", plan)[1])
+    assert limit < 10_000 and "Sort [" not in plan
+    assert {r["seq"] for r in first.collect()} == {r["seq"] for r in df.orderBy(*selection.pool_order(df)).limit(25_000).collect()}
 
 
 def test_texts_stay_out_of_ranking_shuffles(spark):
