@@ -5,17 +5,19 @@ Texts and items are compared as lower-case words joined by single blanks. An ite
 automaton finds all pieces of all items in one pass over a text. Hits of an item on neighbouring diagonals are one window, which Myers'
 bit-parallel distance verifies. Items are sent to the tasks in batches of bounded size, one pass over the texts for each.
 
-Defined cases. Null or empty texts match nothing; null and empty items are not looked for. Items of fewer than ``SHORT_WORDS`` words are
-found unchanged only, from word boundary to word boundary; in scripts without blanks each letter counts as a word and is its own
-boundary. Items without letters and digits are found as they are written, white space aside. ``decontaminate`` needs no item_id;
+Defined cases. Null or empty texts match nothing; null and empty items are not looked for. Items whose budget is 0, being short, are
+found unchanged, from word boundary to word boundary; in scripts without blanks each letter is its own
+boundary. Items without letters and digits are found as they are written, white space aside, by an automaton of their own. ``decontaminate`` needs no item_id;
 ``edit_matches`` names items by it, so rows without one have no match to give. Items with equal words are reported each. Repeated rows: each its own, equal matches. Empty tables:
 no rows. Ties of the distance: the first place in the text. Other columns are not read, unless rows are asked for.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -24,10 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PERCENT = 6
-# Items of fewer words are looked for, too, but without edits and on word boundaries.
-SHORT_WORDS = 5
-# The fewest words of an item that is looked for.
-FEWEST_WORDS = 1
 # Characters of items that are sent to the tasks at once.
 BATCH_CHARS = 8_000_000
 
@@ -44,12 +42,6 @@ def written(text: str | None) -> str:
     return " ".join(text.split()) if text else ""
 
 
-def n_words(item: str) -> int:
-    """Words of a plain text; each letter of an unspaced script is one."""
-    alone, rest = _UNSPACED.subn(" ", item)
-    return rest + len(alone.split())
-
-
 def on_boundaries(text: str, start: int, end: int) -> bool:
     """Whether a place of a plain text begins and ends where words may."""
     return all(at in (0, len(text)) or " " in text[at - 1:at + 1] or _UNSPACED.search(text[at - 1:at + 1]) is not None for at in (start, end))
@@ -104,8 +96,7 @@ class Items:
             elif written(text):
                 self.signs.setdefault(written(text), []).append(item_id)
         self.texts = list(self.ids)
-        self.short = [n_words(t) < SHORT_WORDS for t in self.texts]
-        self.budgets = [0 if short else budget(len(t), percent) for t, short in zip(self.texts, self.short)]
+        self.budgets = [budget(len(t), percent) for t in self.texts]
         held: dict[str, list[tuple[int, int]]] = {}
         for i, text in enumerate(self.texts):
             for offset, piece in pieces(text, self.budgets[i]):
@@ -114,6 +105,10 @@ class Items:
         for piece, places in held.items():
             self.automaton.add_word(piece, (len(piece), places))
         self.automaton.make_automaton()
+        self.sign_automaton = ahocorasick.Automaton()
+        for item in self.signs:
+            self.sign_automaton.add_word(item, item)
+        self.sign_automaton.make_automaton()
 
     def find(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """(item, distance, start, end) of each item within its budget, at its best place in the plain text."""
@@ -126,11 +121,11 @@ class Items:
         for i in sorted(diagonals):
             item, k, best = self.texts[i], self.budgets[i], None
             starts = sorted(diagonals[i])
-            exact = next((s for s in starts if s >= 0 and text.startswith(item, s) and (not self.short[i] or on_boundaries(text, s, s + len(item)))), None)
+            exact = next((s for s in starts if s >= 0 and text.startswith(item, s) and (k > 0 or on_boundaries(text, s, s + len(item)))), None)
             if exact is not None:
                 yield i, 0, exact, exact + len(item)
                 continue
-            if self.short[i]:
+            if not k:
                 continue
             begin = 0
             for j in range(1, len(starts) + 1):
@@ -145,13 +140,21 @@ class Items:
             if best is not None:
                 yield i, *best
 
-
     def find_signs(self, text: str | None) -> Iterator[tuple[str, int, int]]:
         """(item, start, end) of each item without letters and digits at its first place in the text as written."""
-        for item in self.signs if text else ():
-            place = re.search(r"\s+".join(map(re.escape, item.split())), text)
-            if place is not None:
-                yield item, place.start(), place.end()
+        if not self.signs or not text:
+            return
+        first: dict[str, int] = {}
+        for last, item in self.sign_automaton.iter(written(text)):
+            first.setdefault(item, last + 1 - len(item))
+        if not first:
+            return
+        words = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+        begins = list(accumulate((b - a + 1 for a, b in words), initial=0))
+        for item in sorted(first):
+            start, last = first[item], first[item] + len(item) - 1
+            i, j = bisect.bisect_right(begins, start) - 1, bisect.bisect_right(begins, last) - 1
+            yield item, words[i][0] + start - begins[i], words[j][0] + last - begins[j] + 1
 
     def holds(self, text: str | None) -> bool:
         return next(self.find(plain(text)), None) is not None or next(self.find_signs(text), None) is not None
