@@ -1,12 +1,14 @@
 """Language identification of mixed texts: scripts narrow the candidates, then a Viterbi pass over word scores labels spans.
 
-Learning. From a bounded sample (``SAMPLE`` documents with a language, smallest hash of the id first; folds that the caller holds out
-are never read) come counts of letter 1- to 4-grams of words per language and the share of each script per language.
+Learning. From a bounded sample (``SAMPLE`` documents of each language, smallest hash of the id first; folds that the caller holds out
+are never read) come counts of letter 1- to 4-grams of words per language and the share of each script per language. So a rare language is
+learned, too. The most frequent grams of each language are kept: ``MOST_GRAMS`` shared evenly, but at least ``LEAST_GRAMS`` for each.
 Prediction. A word's score for a language is the mean log-probability of its grams times their number (at most 8), relative to the best language;
 languages that do not write the word's script are out. Changing the language between words costs ``SWITCH``. All texts of a
-batch advance together, word by word. The text's language is the one with most letters; ties: the first by name.
+batch advance together, word by word. The text's language is the one with most letters in words that speak for any; ties: the first by name. The score is its share of all letters.
 
-Defined cases. Null text or no letter: ``und``, score 0. Words in a script that no language has: no evidence either way. Nothing to learn
+Defined cases. Null text or no letter: ``und``, score 0. Words in a script that no language has: no evidence, their letters count
+for no language; a text of such words only has the first language by name and score 0. Nothing to learn
 from: ``und`` for all. Repeated rows: each its own, equal result. Empty table: no rows. Other columns are not read.
 """
 
@@ -20,11 +22,15 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE = 12_000
+from siftworks.llm.common import kept_table
+
+# Documents that are learned from, of each language.
+SAMPLE = 3_000
 MOST_GRAMS = 150_000
+LEAST_GRAMS = 1_000
 SWITCH = 8.0
 SMOOTHING = 0.5
 MEMO_WORDS = 300_000
@@ -129,12 +135,12 @@ class Model:
                     self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
                     self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
                 self.rows[at:at + len(some)] = self._score_alike([w.lower() for w in some])
-                self.sizes[at:at + len(some)] = [len(w) for w in some]
+                self.sizes[at:at + len(some)] = [len(w) if script(w.lower()) in self.scripts else 0 for w in some]
                 memo.update(zip(some, range(at, at + len(some))))
         return np.array(list(map(memo.__getitem__, chain.from_iterable(words))), np.int64)
 
     def label(self, texts: list[list[str]]) -> tuple[list[np.ndarray], np.ndarray]:
-        """For texts as word lists: label of each word, and letters per text and language."""
+        """For texts as word lists: label of each word, and letters per text and language of the words whose script a language has."""
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
@@ -180,8 +186,10 @@ class Model:
 
 def learn(docs: DataFrame, keep: Column) -> Model | None:
     """The model from the sample of documents where ``keep`` holds and the language is known."""
-    chosen = (docs.where(keep & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("id"))
-              .distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE))
+    # At most SAMPLE rows of each language leave a task, and as many are broadcast.
+    by_hash = Window.partitionBy("known").orderBy(F.xxhash64("id"), "id")
+    chosen = (docs.where(keep & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("id"), F.col("lang").alias("known"))
+              .distinct().withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE).drop("place"))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -195,13 +203,17 @@ def learn(docs: DataFrame, keep: Column) -> Model | None:
             rows = [(lang, gram, n) for lang, counter in counts.items() for gram, n in counter.items()]
             yield pd.DataFrame(rows, columns=["lang", "gram", "n"])
 
-    rows = docs.where(keep).select("doc_id", "text", "lang").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).where("lang is not null and text is not null")
-    counted = rows.select("text", "lang").mapInPandas(count, "lang string, gram string, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    wide = counted.groupBy("gram").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("each"))
-    found = wide.orderBy(F.desc(F.startswith("gram", F.lit("#"))), F.desc("all"), "gram").limit(MOST_GRAMS).collect()
-    languages = sorted({e["lang"] for row in found for e in row["each"]})
+    rows = docs.where(keep).select("doc_id", "text", "lang").join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("known"))).where("text is not null")
+    counted = kept_table(rows.select("text", "lang").mapInPandas(count, "lang string, gram string, n long").groupBy("gram", "lang").agg(F.sum("n").alias("n")), "grams")
+    languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     if not languages:
         return None
+    is_script = F.startswith("gram", F.lit("#"))
+    often = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    most = max(LEAST_GRAMS, MOST_GRAMS // len(languages))
+    best = counted.where(~is_script).withColumn("place", F.row_number().over(often)).where(F.col("place") <= most).select("gram").distinct()
+    usual = counted.where(is_script).unionByName(counted.where(~is_script).join(best, "gram", "left_semi"))
+    found = usual.groupBy("gram").agg(F.collect_list(F.struct("lang", "n")).alias("each")).orderBy("gram").collect()
     at = {lang: i for i, lang in enumerate(languages)}
     table, scripts = {}, {}
     for row in found:
@@ -252,7 +264,7 @@ def identify(docs: DataFrame, keep: Column) -> DataFrame:
                     for i, text in enumerate(part):
                         if words[i]:
                             k = int(letters[i].argmax())
-                            langs[i], scores[i] = model.languages[k], float(letters[i][k] / letters[i].sum())
+                            langs[i], scores[i] = model.languages[k], float(letters[i][k] / sum(map(len, words[i])))
                             spans[i] = _spans(text, labels[i], model.languages) if scores[i] < 1 else [(text.index(words[i][0]), text.rindex(words[i][-1]) + len(words[i][-1]), langs[i])]
                 yield pd.DataFrame({"doc_id": ids[begin:end], "lang_pred": langs, "score": scores,
                                     "spans": [[{"start": a, "end": b, "lang": c} for a, b, c in s] for s in spans]})
