@@ -62,6 +62,16 @@ def test_quality_rules(spark):
     assert sum(found[d]["kept"] for d in bad if d in found) <= 0.1 * len([d for d in bad if d in found])
 
 
+def test_repeated_ids_count_once_by_their_smallest_text(spark):
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choice(["alpha", "beta", "gamma", "delta", "of", "to"]) for _ in range(30 + i % 9)) + "".join(" " + "#" * k for k in range(1, 10) if i % 4 == 0)) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i, _ in rows], "doc_id long, quality int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    more = once.unionByName(once.selectExpr("doc_id", "concat('zz ', text) AS text")).unionByName(once.selectExpr("doc_id", "cast(NULL AS string) AS text")).repartition(5)
+    a, b = qr.fit(once, labels), qr.fit(more, labels)
+    assert a[1] == b[1] and np.array_equal(a[0].cut, b[0].cut, equal_nan=True)
+
+
 def test_quality_without_labels_and_kept_rows(spark):
     docs = spark.createDataFrame([(1, "word " * 5, None, "s", "k"), (2, " ".join(f"w{i}" for i in range(30)), None, None, None), (3, None, None, None, None)], EXTRA)
     labels = spark.createDataFrame([], "doc_id long, quality int")
@@ -86,11 +96,11 @@ def test_edit_matches_against_brute_force(spark):
     draw = random.Random(8)
     words = ["tion", "the", "ing", "re", "stand", "of", "able", "over"]
     item = lambda n: " ".join(draw.choice(words) for _ in range(n))
-    items = [(i, item(draw.randrange(5, 25))) for i in range(12)] + [(50, None), (51, ""), (52, "too few words"), (53, "Same  words, as the one before"), (54, "same words as the one BEFORE")]
+    items = [(i, item(draw.randrange(2, 25))) for i in range(16)] + [(50, None), (51, ""), (52, "too few words"), (53, "Same  words, as the one before"), (54, "same words as the one BEFORE")]
     docs = [(0, None), (1, "")]
     for i in range(60):
         text = item(40)
-        source = draw.choice(items[:12] + items[-2:])[1]
+        source = draw.choice(items[:16] + items[-2:])[1]
         for _ in range(draw.randrange(0, 8)):
             at = draw.randrange(len(source))
             source = source[:at] + draw.choice(["", "x", "zz", source[at] + "q"]) + source[at + 1:]
@@ -102,9 +112,9 @@ def test_edit_matches_against_brute_force(spark):
     for d, text in docs:
         for i, t in items:
             p = dc.plain(t)
-            if len(p.split()) >= dc.FEWEST_WORDS:
-                found = distance(p, dc.plain(text))
-                if found <= dc.PERCENT * len(p) // 100:
+            if p:
+                found, allowed = distance(p, dc.plain(text)), dc.PERCENT * len(p) // 100
+                if found <= allowed and (allowed or f" {p} " in f" {dc.plain(text)} "):
                     want[d, i] = found
     assert got == want and any(v > 0 for v in want.values())
     clean = dc.decontaminate(table, benchmark)
@@ -125,6 +135,22 @@ def test_short_unspaced_and_unnamed_items(spark):
     assert {r["doc_id"] for r in dc.decontaminate(docs, benchmark).collect()} == {2, 8, 9}
 
 
+def test_budget_is_by_characters_not_words(spark):
+    """An item of four words and 49 characters may have 2 edits, as any item of its length."""
+    item = "photosynthesis transforms electromagnetic energy!"
+    docs = spark.createDataFrame([(1, "so photosynthesis transfoms electromagnetic enrgy it is", None, None, None), (2, "photosynthesis tranfoms electomagnetic energy", None, None, None)], EXTRA)
+    got = dc.edit_matches(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["distance"], r["budget"]) for r in got] == [(1, 2, 2)]
+
+
+def test_items_without_letters_are_found_together(spark):
+    texts = {1: "x  ...\n --> y ;-)", 2: "--> ...", 3: "--\u00a0>", 4: None, 5: ""}
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in texts.items()], EXTRA)
+    benchmark = spark.createDataFrame([(1, "... -->"), (2, " -->"), (3, "-- >"), (4, ";-)"), (5, ")")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): texts[r["doc_id"]][r["start"]:r["end"]] for r in dc.edit_matches(docs, benchmark).collect()}
+    assert got == {(1, 1): "...\n -->", (1, 2): "-->", (1, 4): ";-)", (1, 5): ")", (2, 2): "-->", (3, 3): "--\u00a0>"}
+
+
 def test_benchmark_in_several_batches(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
@@ -186,6 +212,32 @@ def test_languages(spark):
     assert li.identify(odd.limit(0), keep).count() == 0
 
 
+def test_learning_against_plain_counts(spark, monkeypatch):
+    draw = random.Random(3)
+    rows = [(i, " ".join("".join(draw.choices("abcde", k=draw.randrange(1, 6))) for _ in range(6)), draw.choice(["en", "fr", None])) for i in range(60)] + [(99, "zażółć gęślą", "pl"), (98, "слово", "ru"), (97, None, "pl")]
+    docs = spark.createDataFrame([(*r, "", "") for r in rows], "doc_id long, text string, lang string, score string, kept string").repartition(4)
+    for sample, most, least in ((1000, 10**6, 0), (8, 10**6, 0), (1000, 0, 5)):
+        monkeypatch.setattr(li, "SAMPLE", sample)
+        monkeypatch.setattr(li, "MOST_GRAMS", most)
+        monkeypatch.setattr(li, "LEAST_GRAMS", least)
+        order = {r["doc_id"]: (r["h"], r["doc_id"]) for r in docs.selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
+        counts = {}
+        for lang in ("en", "fr", "pl", "ru"):
+            mine = sorted((order[i], t) for i, t, own in rows if own == lang and t is not None)[:sample]
+            counts[lang] = Counter(g for _, t in mine for w in li.LETTERS.findall(t) for g in li.grams(w))
+        best = {g for c in counts.values() for g in sorted(c, key=lambda g: (-c[g], g.encode()))[:max(least, most // 4)]}
+        model = li.learn(docs, docs["doc_id"] >= 0)
+        assert model.languages == sorted(counts) and set(model.table) == best
+        totals = {lang: sum(c[g] for g in best) + li.SMOOTHING * (len(best) + 1) for lang, c in counts.items()}
+        assert all(np.allclose(line, [np.log((counts[lang][g] + li.SMOOTHING) / totals[lang]) for lang in model.languages]) for g, line in model.table.items())
+
+
+def test_scripts_that_no_language_has_give_no_score(spark):
+    docs = spark.createDataFrame([(1, "some plain words", "en", "", ""), (2, "des mots simples", "fr", "", ""), (3, "слово и дело", None, "", ""), (4, "plain слов", None, "", "")], "doc_id long, text string, lang string, a string, b string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in li.identify(docs, docs["lang"].isNotNull()).collect()}
+    assert got[3] == ("en", 0.0) and got[4] == ("en", 5 / 9) and got[1] == ("en", 1.0)
+
+
 def test_mixed_text_has_spans():
     table = {"x": np.array([-1.0, -6.0]), "y": np.array([-6.0, -1.0])}
     model = li.Model(["a", "b"], table, np.array([-4.0, -4.0]), {"latin": np.array([True, True])})
