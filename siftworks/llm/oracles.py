@@ -38,8 +38,10 @@ g AS (SELECT doc_id, unnest(grams) AS gram FROM s),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b USING (gram) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
 l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.size + y.size - shared)),
 e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l),
-r AS (SELECT doc_id AS u, doc_id AS c FROM n UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.u)
-SELECT n.doc_id, any_value(n.size)::BIGINT AS n_shingles, min(r.c) AS component_id FROM n JOIN r ON r.u = n.doc_id GROUP BY n.doc_id"""
+r AS (SELECT doc_id AS u, doc_id AS c FROM n UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.u),
+k AS (SELECT u, count(*) AS links FROM e GROUP BY u)
+SELECT n.doc_id, any_value(n.size)::BIGINT AS n_shingles, min(r.c) AS component_id, coalesce(any_value(k.links), 0)::BIGINT AS n_links
+FROM n JOIN r ON r.u = n.doc_id LEFT JOIN k ON k.u = n.doc_id GROUP BY n.doc_id"""
 
 # Bytes as pairs of hexadecimal digits; a run goes on while repeated strings overlap or touch.
 SUFFIX_REPEATS = """

@@ -15,7 +15,7 @@ from siftworks.llm.common import fold, table
 from siftworks.llm.decontaminate import edit_matches
 from siftworks.llm.html_extract import extract_main_text
 from siftworks.llm.language_id import identify
-from siftworks.llm.ngram_join import ngram_jaccard_join
+from siftworks.llm.ngram_join import ngram_jaccard_counts
 from siftworks.llm.prefix_trie import prefix_trie
 from siftworks.llm.quality_rules import quality_rules
 from siftworks.llm.secret_scan import secret_scan
@@ -42,7 +42,7 @@ def query(key: str):
 
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard_join(table(spark, sf_dir, "documents"), 3, 90)
+    return ngram_jaccard_counts(table(spark, sf_dir, "documents"), 3, 90)
 
 
 @query("op5_secret_scan")
