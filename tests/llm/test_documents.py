@@ -72,6 +72,36 @@ def test_repeated_ids_count_once_by_their_smallest_text(spark):
     assert a[1] == b[1] and np.array_equal(a[0].cut, b[0].cut, equal_nan=True)
 
 
+def test_quality_learns_from_every_labelled_row(spark):
+    from pyspark.sql import functions as F
+    ids = spark.range(21_000).select(F.col("id").alias("doc_id"))
+    last = ids.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    bad = F.col("doc_id") == last
+    odd = " ".join(f"${'#' * i} $" for i in range(20))
+    plain = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(21)), lambda i: F.concat(F.lit("w"), i * F.col("doc_id"))), " ")
+    docs = ids.select("doc_id", F.when(bad, F.lit(odd)).otherwise(plain).alias("text"))
+    model = qr.fit(docs.repartition(4), ids.select("doc_id", F.when(bad, 0).otherwise(1).alias("quality")))
+    score = lambda d: model[0].score(np.array([qr.statistics(docs.where(F.col("doc_id") == d).first()["text"])[1]]))[0]
+    assert score(last) > model[1] >= score((last + 1) % 21_000)
+
+
+def test_quality_threshold_against_a_plain_one(spark):
+    draw = np.random.default_rng(4)
+    for n, levels in ((300, 40), (2000, 10 ** 9), (3, 2)):
+        scores = draw.integers(0, levels, n) / levels
+        good = draw.random(n) < 0.8
+        good[:2] = True, False
+        scores[~good] += 0.3
+        cuts = np.unique(scores)
+        lost = 1 - np.array([(scores[good] <= c).sum() for c in cuts]) / good.sum()
+        caught = 1 - np.array([(scores[~good] <= c).sum() for c in cuts]) / (~good).sum()
+        gain = np.where(lost <= 0.1, caught - lost, -1)
+        best = np.flatnonzero(gain == gain.max())
+        middle = best[len(best) // 2]
+        rows = spark.createDataFrame([(float(s), int(g)) for s, g in zip(scores, good)], "score double, good int").repartition(3)
+        assert qr.threshold(rows, 0.1) == (cuts[middle] + cuts[min(middle + 1, len(cuts) - 1)]) / 2
+
+
 def test_quality_without_labels_and_kept_rows(spark):
     docs = spark.createDataFrame([(1, "word " * 5, None, "s", "k"), (2, " ".join(f"w{i}" for i in range(30)), None, None, None), (3, None, None, None, None)], EXTRA)
     labels = spark.createDataFrame([], "doc_id long, quality int")
