@@ -61,8 +61,9 @@ class Vocabulary:
     unknown: int
     prefix: bool
     ranked: bool
-    memo: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
-    older: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    # Ids of words as 32-bit numbers, so that a text is joined from them.
+    memo: dict[str, bytes] = field(default_factory=dict, repr=False)
+    older: dict[str, bytes] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.normal[i]}
@@ -72,8 +73,11 @@ class Vocabulary:
         self.keys, self.key_ids = keys[order], np.array(list(self.ids.values()), np.int64)[order]
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces have the same hash")
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self.keys >> np.uint64(64 - FILTER_BITS)] = True
+        # A slot holds one of its keys; slots of several keys are marked.
+        slots = self._slot(self.keys)
+        uses = np.bincount(slots, minlength=1 << FILTER_BITS)
+        self.filter, self.shared, self.key_at = uses > 0, uses > 1, np.zeros(1 << FILTER_BITS, np.int32)
+        self.key_at[slots] = np.arange(len(slots))
         # Pairs that were tried: a slot holds the pair that was last put there, and whether the second may follow the first.
         self.pair_keys, self.pair_open = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
         self.score = np.array(self.scores, np.float64)
@@ -158,8 +162,23 @@ class Vocabulary:
             i -= back[i]
         return out[::-1]
 
-    def _same_length(self, words: list[str]) -> list[list[int]]:
-        """The lattices of words of one length, advanced together."""
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        # The first bits of short pieces are all zero; the product spreads them.
+        return ((key * np.uint64(MULTIPLIER)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+    def _find(self, key: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the sorted keys, and whether the key is there; slots of several keys are searched."""
+        at = self.key_at[slot]
+        hit = self.keys[at] == key
+        more = np.flatnonzero(~hit & self.shared[slot])
+        if len(more):
+            at[more] = np.minimum(np.searchsorted(self.keys, key[more]), len(self.keys) - 1)
+            hit[more] = self.keys[at[more]] == key[more]
+        return at, hit
+
+    def _paths(self, words: list[str]) -> np.ndarray:
+        """The lattices of words of one length, advanced together: a row of pieces for each word, -1 where there is none."""
         n = len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).T.astype(np.uint64, order="C")
         # One row per position, so that what a step reads and writes lies together.
@@ -171,19 +190,19 @@ class Vocabulary:
         total[0] = 0
         last = np.full((n + 1, len(words)), -1, np.int64)
         back = np.zeros((n + 1, len(words)), np.int64)
-        every, shift = np.arange(len(words)), np.uint64(64 - FILTER_BITS)
+        every = np.arange(len(words))
         for i in range(1, n + 1):
             for p in reversed([p for p in self.lengths if p <= i] or [1]):
                 key = prefix[i] - prefix[i - p] * power[p]
+                slot = self._slot(key)
                 if p == 1:
                     rows = every
                 else:
-                    rows = np.flatnonzero(self.filter[key >> shift])
+                    rows = np.flatnonzero(self.filter[slot])
                     if not len(rows):
                         continue
-                    key = key[rows]
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                hit = self.keys[at] == key
+                    key, slot = key[rows], slot[rows]
+                at, hit = self._find(key, slot)
                 if p == 1:
                     piece = np.where(hit, self.key_ids[at], len(self.pieces) + codes[i - 1].astype(np.int64))
                     gain = np.where(hit, self.score[self.key_ids[at]], self.unknown_score)
@@ -205,13 +224,24 @@ class Vocabulary:
             rows = rows[where[rows] > 0]
             if not len(rows):
                 break
+        return path
+
+    def _same_length(self, words: list[str]) -> list[list[int]]:
+        """The pieces of words of one length."""
+        return [row[row >= 0].tolist() for row in self._paths(words)]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of words of one length; only words with a character that has no piece are gone through."""
+        path = self._paths(words)
         taken = path >= 0
-        flat, ends = path[taken].tolist(), np.cumsum(taken.sum(axis=1)).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+        raw, ends = path[taken].astype(np.int32).tobytes(), (4 * np.cumsum(taken.sum(axis=1))).tolist()
+        found = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        for k in np.flatnonzero((path >= len(self.pieces)).any(axis=1)).tolist():
+            found[k] = self._final(path[k][taken[k]].tolist())
+        return found
 
-    def _final(self, pieces: list[int]) -> tuple[int, ...]:
-        if max(pieces) < len(self.pieces):
-            return tuple(pieces)
+    def _final(self, pieces: list[int]) -> bytes:
+        """The ids of pieces, with those of characters that have none."""
         out: list[int] = []
         for piece in pieces:
             if piece < len(self.pieces):
@@ -220,7 +250,7 @@ class Vocabulary:
                 out += [self.byte_ids[b] for b in chr(piece - len(self.pieces)).encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return tuple(out)
+        return np.array(out, np.int32).tobytes()
 
     def segments(self, text: str) -> list[str]:
         """Parts that no piece crosses, each without its first blank; a part that has no blank in front is marked by a null."""
@@ -252,9 +282,8 @@ class Vocabulary:
             else:
                 for begin in range(0, len(words), 20_000):
                     part = words[begin:begin + 20_000]
-                    for word, found in zip(part, self._same_length([_whole(w) for w in part])):
-                        memo[word] = self._final(found)
-        return [np.array(list(chain.from_iterable(map(memo.__getitem__, words))), np.int32) for words in split]
+                    memo.update(zip(part, self._ids([_whole(w) for w in part])))
+        return [np.frombuffer(b"".join(map(memo.__getitem__, words)), np.int32) for words in split]
 
     def forget(self) -> None:
         """Give up the remembered words."""

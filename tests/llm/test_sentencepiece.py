@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -58,3 +59,13 @@ def test_tables(spark):
     back = {r["doc_id"]: r["decoded"] for r in sc.decode_ids(sc.encode_documents(docs, TOKENIZER), TOKENIZER).collect()}
     assert back[4] == "word " * 30_000 and back[3] == " x y" and back[2] == ""
     assert sc.encode_documents(docs.limit(0), TOKENIZER).count() == 0
+
+
+def test_keys_are_found_by_their_slots():
+    v = sc.load_vocabulary(TOKENIZER)
+    wanted = np.array([sc._hash(p) for p in list(v.ids)[::3]], np.uint64)
+    absent = wanted ^ np.uint64(1 << 40)
+    at, hit = v._find(np.concatenate([wanted, absent]), v._slot(np.concatenate([wanted, absent])))
+    assert hit[:len(wanted)].all() and v.key_ids[at[:len(wanted)]].tolist() == list(v.ids.values())[::3]
+    assert hit[len(wanted):].tolist() == [k in set(v.keys.tolist()) for k in absent.tolist()]
+    assert v.shared.sum() < 0.02 * len(v.keys)
