@@ -112,3 +112,13 @@ def test_links_of_odd_rows(spark):
     docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], SCHEMA)
     got = sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in nj.ngram_jaccard_counts(docs, 3, 90).collect()), key=str)
     assert got == sorted([(7, 58, 1), (7, 59, 1), (9, 1, 0), (None, 58, 0), (None, 0, 0), (8, 0, 0)], key=str)
+
+
+def test_the_counted_share_changes_no_link(spark, monkeypatch):
+    docs = spark.createDataFrame(corpus(11), "doc_id long, text string")
+    answers = []
+    for one_in, frequent in ((1, 400_000), (16, 400_000), (3, 5), (1, 0)):
+        monkeypatch.setattr(nj, "COUNTED_ONE_IN", one_in)
+        monkeypatch.setattr(nj, "MOST_FREQUENT", frequent)
+        answers.append(sorted(map(tuple, nj.ngram_jaccard_counts(docs, 3, 80).collect()), key=repr))
+    assert answers[1:] == answers[:1] * 3
