@@ -57,3 +57,13 @@ def test_the_history_view_labels_only_what_was_sent(spark):
     lines = plan.split("\n")
     semi = next(i for i, line in enumerate(lines) if "Join LeftSemi" in line)
     assert any(re.search("Generate inline", line) for line in lines[:semi]) and not any("Generate inline" in line for line in lines[semi:])
+
+
+def test_postings_of_one_row_group_are_labelled_by_many_tasks(spark, tmp_path):
+    noise = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.sha2(F.concat_ws("-", "id", i), 512)))
+    rows = spark.range(2000, numPartitions=1).select(
+        F.col("id").alias("doc_id"), noise.alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"), (F.col("id") % 997).alias("n_chars"))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    labelled = views.normalized(spark, str(tmp_path)).select("seq", "match_score", F.spark_partition_id().alias("task"))
+    sizes = [r["n"] for r in labelled.groupBy("task").agg(F.count("match_score").alias("n")).collect()]
+    assert sum(sizes) == 2000 and len(sizes) > 1 and max(sizes) < 1500
