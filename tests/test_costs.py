@@ -67,3 +67,17 @@ def test_postings_of_one_row_group_are_labelled_by_many_tasks(spark, tmp_path):
     labelled = views.normalized(spark, str(tmp_path)).select("seq", "match_score", F.spark_partition_id().alias("task"))
     sizes = [r["n"] for r in labelled.groupBy("task").agg(F.count("match_score").alias("n")).collect()]
     assert sum(sizes) == 2000 and len(sizes) > 1 and max(sizes) < 1500
+
+
+def test_numbering_and_cutting_by_ranges_compute_their_rows_once(spark):
+    for ranked in (lambda df: sel.rank_all(df, sel.pool_order(df), ["seq", "match_score"]).selectExpr("seq"),
+                   lambda df: sel.first_rows(df, sel.pool_order, 100, ["seq", "match_score"], one_task=10).selectExpr("seq")):
+        calls = spark.sparkContext.accumulator(0)
+
+        def counted(value):
+            calls.add(1)
+            return value % 7
+
+        rows = spark.range(500, numPartitions=4).select(F.col("id").alias("seq"), F.udf(counted, "long")("id").alias("match_score"))
+        ranked(rows).collect()
+        assert calls.value == 500
