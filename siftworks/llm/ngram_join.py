@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ COUNTED_ONE_IN = 16
 MOST_FREQUENT = 400_000
 # Members of a posting list that one task compares with each other; longer lists are dealt as pairs of blocks.
 BLOCK = 1024
+# Pairs of a list that a task holds at once.
+MOST_PAIRS = 50_000
 # Sets of a class that one task compares with as many others, and shingles that it lays out at once.
 BLOCK_SETS = 256
 SHINGLES = 8192
@@ -58,12 +61,13 @@ def word_hashes(words: list[str]) -> np.ndarray:
 
 
 def forgetting(function):
-    """The same function over a partition, after which its worker holds no words."""
+    """The same function over a partition, after which its worker holds no words and no free Arrow memory."""
     def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         try:
             yield from function(frames)
         finally:
             _MEMO.clear()
+            pa.default_memory_pool().release_unused()
     return call
 
 
@@ -171,12 +175,12 @@ def _few_open(sizes, classes, bits, percent: int):
     return (np.array([f[k] for f in found], np.int64) for k in range(3))
 
 
-def _open_pairs(sizes, classes, bits, left, percent: int):
-    """Pairs (i, j) of one list that may link: other class, sizes and bitmaps allow it. left: only pairs across that mark."""
+def _open_pairs(sizes, classes, bits, left, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of one list that may link, a bounded number at once: other class, sizes and bitmaps allow it. left: only pairs across that mark."""
     if len(sizes) <= 12 and left is None:
-        return _few_open(sizes.tolist(), classes.tolist(), bits, percent)
-    found_i, found_j, found_d = [], [], []
-    none = np.empty(0, np.int64)
+        yield tuple(_few_open(sizes.tolist(), classes.tolist(), bits, percent))
+        return
+    found, held = [], 0
     widths = np.array([8 * len(b) for b in bits])
     values = [int.from_bytes(b, "little") for b in bits] if len(np.unique(widths)) > 1 else None
     stacked = np.stack([np.frombuffer(b, np.uint64) for b in bits]) if values is None else None
@@ -194,12 +198,13 @@ def _open_pairs(sizes, classes, bits, left, percent: int):
             apart = np.array([_apart(values[i], values[j], int(widths[i]), int(widths[j])) for j in rest], np.int64)
         ok = links((sizes[i] + sizes[rest] - apart) // 2, sizes[i], sizes[rest], percent)
         if ok.any():
-            found_i.append(np.full(int(ok.sum()), i))
-            found_j.append(rest[ok])
-            found_d.append(apart[ok])
-    if not found_i:
-        return none, none, none
-    return np.concatenate(found_i), np.concatenate(found_j), np.concatenate(found_d)
+            found.append((np.full(int(ok.sum()), i), rest[ok], apart[ok]))
+            held += len(found[-1][0])
+            if held >= MOST_PAIRS:
+                yield tuple(map(np.concatenate, zip(*found)))
+                found, held = [], 0
+    if found:
+        yield tuple(map(np.concatenate, zip(*found)))
 
 
 def _forest(i: np.ndarray, j: np.ndarray, apart: np.ndarray, ids: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -224,31 +229,42 @@ def _forest(i: np.ndarray, j: np.ndarray, apart: np.ndarray, ids: np.ndarray, cl
     return np.array(chosen, np.int64)
 
 
+def _forest_of(parts, ids: np.ndarray, classes: np.ndarray):
+    """The pairs of the best-first spanning forest of all parts: the order of the pairs is total, so a pair that a part leaves out is in no forest of more."""
+    held = None
+    for part in parts:
+        held = part if held is None else tuple(map(np.concatenate, zip(held, part)))
+        if len(held[0]) > 1:
+            chosen = _forest(*held, ids, classes)
+            held = tuple(column[chosen] for column in held)
+    return [] if held is None else [held]
+
+
 def _proposals(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
     """Pairs (a, b), a < b, proposed by the lists (columns list, x, y, doc, size, class, bits; rows of a list and block pair together)."""
     def of_list(ids, sizes, classes, bits, left):
         if (classes == classes[0]).all():
-            return None
+            return
         order = np.lexsort((ids, sizes))
         ids, sizes, classes, bits = ids[order], sizes[order], classes[order], [bits[k] for k in order]
-        i, j, apart = _open_pairs(sizes, classes, bits, None if left is None else left[order], percent)
-        if forest and len(i) > 1:
-            chosen = _forest(i, j, apart, ids, classes)
-            i, j = i[chosen], j[chosen]
-        return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+        parts = _open_pairs(sizes, classes, bits, None if left is None else left[order], percent)
+        for i, j, _ in _forest_of(parts, ids, classes) if forest else parts:
+            yield np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
 
     def propose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         out_a, out_b = [], []
 
-        def take(part: dict[str, np.ndarray], begin: int, end: int) -> None:
+        def take(part: dict[str, np.ndarray], begin: int, end: int) -> Iterator[pd.DataFrame]:
             if end - begin > 1:
                 at = slice(begin, end)
                 left = part["mine"][at] == part["x"][begin] if part["x"][begin] != part["y"][begin] else None
-                found = of_list(part["doc"][at], part["size"][at], part["class"][at], part["bits"][at], left)
-                if found is not None and len(found[0]):
-                    out_a.append(found[0])
-                    out_b.append(found[1])
+                for a, b in of_list(part["doc"][at], part["size"][at], part["class"][at], part["bits"][at], left):
+                    if len(a):
+                        out_a.append(a)
+                        out_b.append(b)
+                    if len(a) >= MOST_PAIRS:
+                        yield flush()
 
         def flush():
             a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
@@ -266,17 +282,17 @@ def _proposals(lists: DataFrame, percent: int, forest: bool) -> DataFrame:
                 change |= part[c][1:] != part[c][:-1]
             begin = 0
             for cut in (np.flatnonzero(change) + 1).tolist():
-                take(part, begin, cut)
+                yield from take(part, begin, cut)
                 begin = cut
             held = frame.iloc[begin:]
-            if sum(map(len, out_a)) > 50_000:
+            if sum(map(len, out_a)) > MOST_PAIRS:
                 yield flush()
         if held is not None and len(held):
-            take({c: held[c].to_numpy() for c in held.columns}, 0, len(held))
+            yield from take({c: held[c].to_numpy() for c in held.columns}, 0, len(held))
         yield flush()
 
     dealt = lists.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y")
-    return dealt.mapInPandas(propose, "a long, b long").distinct()
+    return dealt.mapInPandas(forgetting(propose), "a long, b long").distinct()
 
 
 def _sets(needed: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -319,7 +335,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
                             and bool(links(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent)))
             yield frame.loc[keep, ["a", "b"]]
 
-    return pairs.join(left, "a").join(right, "b").mapInPandas(confirm, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").mapInPandas(forgetting(confirm), "a long, b long").distinct()
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

@@ -122,3 +122,37 @@ def test_the_counted_share_changes_no_link(spark, monkeypatch):
         monkeypatch.setattr(nj, "MOST_FREQUENT", frequent)
         answers.append(sorted(map(tuple, nj.ngram_jaccard_counts(docs, 3, 80).collect()), key=repr))
     assert answers[1:] == answers[:1] * 3
+
+
+def test_a_list_of_near_copies_is_cut_to_its_forest_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    draw = np.random.default_rng(3)
+    base = np.unique(draw.integers(0, 1 << 63, 200).astype(np.uint64))
+    sets = []
+    for _ in range(1200):
+        values = base.copy()
+        at = draw.choice(len(base), int(draw.integers(0, 12)), replace=False)
+        values[at] = draw.integers(0, 1 << 63, len(at)).astype(np.uint64)
+        sets.append(np.unique(values))
+    sets.sort(key=len)
+    ids, sizes, bits = draw.permutation(len(sets)), np.array([len(v) for v in sets]), [nj.bitmap(v) for v in sets]
+    half = np.arange(len(sets)) % 2 == 0
+
+    def forest(left):
+        tracemalloc.start()
+        try:
+            (i, j, _), = nj._forest_of(nj._open_pairs(sizes, ids, bits, left, 80), ids, ids)
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        return set(zip(np.minimum(ids[i], ids[j]).tolist(), np.maximum(ids[i], ids[j]).tolist())), peak
+
+    for left in (None, half):
+        monkeypatch.setattr(nj, "MOST_PAIRS", 50_000)
+        cut, peak = forest(left)
+        monkeypatch.setattr(nj, "MOST_PAIRS", 1 << 40)
+        whole, most = forest(left)
+        assert cut == whole and len(cut) == len(sets) - 1
+        assert peak < 10_000_000 < most
