@@ -84,3 +84,29 @@ def test_debug_rows_move_no_texts_and_keep_given_types(spark):
     out = jn.url_debug_rows(raw, known, known, BOOK.patterns, BOOK.clean)
     assert "description" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {(r.matched_pattern, r.detected_type) for r in out.collect()} == {("given", "real_job")}
+
+
+def test_terms_within_found_terms_are_told_apart(texts):
+    long = tx.LongText(["the", "the the", "of", "of of", "a the the", "xx", "x", "THE"], "d")
+    assert long.roots == ["the", "of", "x", "THE"]
+    rows = long.add(texts, F.col("d")).select("d", F.col(long.found).alias("found"), F.array(*[
+        F.contains(F.lower(tx.nz(F.col("d"))), F.lit(t)) for t in long.terms]).alias("was")).collect()
+    assert [r for r in rows if r.found != r.was] == []
+
+
+def test_a_long_term_is_looked_for_only_where_its_root_is(texts):
+    long = tx.LongText(["the", "the the", "a the"], "d")
+    plan = long.add(texts, F.col("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") + plan.lower().count("contains(lambda") <= 3 and "CASE WHEN" in plan and len(long.roots) == 1
+
+
+def test_a_long_text_is_trimmed_at_its_ends(spark):
+    values = ["", None, " ", "a", " a", "a\u2003", "\n\na b\t", "\u3000\u3000", "\u200ba", *[f"{c}a{c}b{c}" for c in tx.SPACES], *tx.SPACES]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    assert [r for r in rows.select(tx.strip_long(F.col("v")).alias("now"), tx.strip_space(F.col("v")).alias("was")).collect() if r.now != r.was] == []
+
+
+def test_lower_case_is_lowered_by_nothing(spark):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    rows = spark.createDataFrame([("x".join(points[i:i + 4096]),) for i in range(0, len(points), 4096)], "v string").select(F.lower("v").alias("low"))
+    assert rows.where(F.lower("low") != F.col("low")).count() == 0
