@@ -110,3 +110,15 @@ def test_lower_case_is_lowered_by_nothing(spark):
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     rows = spark.createDataFrame([("x".join(points[i:i + 4096]),) for i in range(0, len(points), 4096)], "v string").select(F.lower("v").alias("low"))
     assert rows.where(F.lower("low") != F.col("low")).count() == 0
+
+
+def test_the_second_pass_reads_what_the_first_one_found(spark):
+    first = pj.normalize_posting(postings_of(spark), BOOK, with_scores=False, typed=True, searched=True)
+    plain = pj.normalize_posting(postings_of(spark), BOOK, with_scores=False, typed=True)
+    again = pj.rescore(first, BOOK)
+    long = pj.long_text(BOOK)
+    assert set(again.columns).isdisjoint(long.columns) and {long.ends, long.found} <= set(first.columns) and long.text not in first.columns
+    assert pj.rescore(first, BOOK)._jdf.queryExecution().optimizedPlan().toString().count(f"{long.found}_roots") == \
+        first._jdf.queryExecution().optimizedPlan().toString().count(f"{long.found}_roots")
+    names = sorted(again.columns)
+    assert again.select(names).orderBy("seq").collect() == pj.rescore(plain, BOOK).select(names).orderBy("seq").collect()
